@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup, mixing
+from . import bpe, exact_dedup, grammar, line_dedup, mixing, packing, token_files
 from .shared import read
 
 
@@ -24,7 +24,21 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "n_lines", "n_dropped", "kept_text")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op4_exact_dedup, op7_line_dedup)}
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of byte_bpe_50k, whose end id 50256 no text can yield."""
+    return token_files.token_counts(read(spark, sf_dir, "documents"), bpe.vocabulary("byte_bpe_50k.json"), 50256)
+
+
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = grammar.token_shards(read(spark, sf_dir, "documents"), bpe.vocabulary("byte_bpe_50k.json"), first=50257, end=0)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32", "bucket", "shard")
+
+
+def op8_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), bpe.vocabulary("word_bpe_49k.json"), 2048, end=0)
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_exact_dedup, op5_token_shards, op7_line_dedup, op8_pack_sequences)}
 
 _MIX = """
 WITH RECURSIVE sizes AS (
