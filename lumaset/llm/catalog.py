@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, grammar, line_dedup, mixing, packing, token_files
+from . import bpe, exact_dedup, grammar, line_dedup, mixing, packing, quality, repeats, token_files
 from .shared import read
 
 
@@ -19,11 +19,21 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.rate_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.line_dedup(read(spark, sf_dir, "pages"), ratio=0.3, min_pages=3)
     return found.select("page_id", "host", "n_lines", "n_dropped", "kept_text")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(read(spark, sf_dir, "documents"), width=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of byte_bpe_50k, whose end id 50256 no text can yield."""
     return token_files.token_counts(read(spark, sf_dir, "documents"), bpe.vocabulary("byte_bpe_50k.json"), 50256)
@@ -38,7 +48,7 @@ def op8_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), bpe.vocabulary("word_bpe_49k.json"), 2048, end=0)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_exact_dedup, op5_token_shards, op7_line_dedup, op8_pack_sequences)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_suffix_dedup, op3_token_counts, op4_exact_dedup, op5_token_shards, op6_quality, op7_line_dedup, op8_pack_sequences)}
 
 _MIX = """
 WITH RECURSIVE sizes AS (

@@ -64,3 +64,22 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of finished phases, whose results are in shared tables, now rather than later."""
+    import gc
+
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def keyed(docs: DataFrame, id_col: str, key: str) -> DataFrame:
+    """The table with a unique, stable bigint ``key``: the id where ids are unique integers, else a written number."""
+    ids = docs.select(F.col(id_col).alias("id"))
+    kind = ids.dtypes[0][1]
+    if kind in ("bigint", "int", "smallint", "tinyint"):
+        again = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or id is null").limit(1).count()
+        if not again:
+            return docs.withColumn(key, F.col(id_col).cast("bigint"))
+    return materialise(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
