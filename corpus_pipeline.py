@@ -1,8 +1,58 @@
-"""The corpus pipeline; its stages follow."""
+"""From raw documents to packed training sequences.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a table; its result is written as Parquet and read again as the
+next stage's docs.  All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lumaset.llm import bpe, exact_dedup, mixing, near_dups, packing, quality
+from lumaset.llm.shared import materialise, read
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject."""
+    trees = quality.train(docs, read(spark, sf_dir, "labels"))
+    return quality.score(docs, trees).where("predicted = 1").select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, the one with the largest id."""
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 and more."""
+    return near_dups.drop_near_duplicates(docs, size=5, percent=80)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of documents, so that sources weigh as the square roots of their sizes."""
+    return mixing.mix(docs, exponent=0.5, epochs=1.0, seed="mix").select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents' ids in sequences of 2048."""
+    return packing.pack_documents(docs, bpe.vocabulary("word_bpe_49k.json"), 2048, end=0)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("exact dedup", drop_copies),
+    ("near-duplicate removal", drop_near_copies),
+    ("source mixing", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
+
+#: The classifier, MinHash and packing stages have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return docs

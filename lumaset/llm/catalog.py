@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, fingerprints, grammar, line_dedup, mixing, packing, quality, repeats, token_files
+from . import bpe, exact_dedup, fingerprints, grammar, line_dedup, mixing, near_dups, packing, quality, repeats, token_files
 from .shared import read
 
 
@@ -48,11 +48,17 @@ def op8_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), bpe.vocabulary("word_bpe_49k.json"), 2048, end=0)
 
 
+def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles of two words, similarity of 0.8 and more."""
+    found = near_dups.near_duplicates(read(spark, sf_dir, "documents"), size=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_suffix_dedup, op3_token_counts, op4_exact_dedup, op5_token_shards, op6_quality, op7_line_dedup, op8_pack_sequences, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_suffix_dedup, op3_token_counts, op4_exact_dedup, op5_token_shards, op6_quality, op7_line_dedup, op8_pack_sequences, op9_near_dups, op10_fingerprints)}
 
 _MIX = """
 WITH RECURSIVE sizes AS (
