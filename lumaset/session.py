@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -20,7 +22,7 @@ DEFAULTS = {
 def local_session(cores: int | str = 8, *, app: str = "lumaset", memory: str = "8g", **extra: str) -> SparkSession:
     """A session for one machine; on a cluster the submitter's own settings hold."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app).config("spark.driver.memory", memory)
-    builder = builder.config("spark.sql.shuffle.partitions", str(cores))
+    builder = builder.config("spark.sql.shuffle.partitions", str(cores if str(cores).isdigit() else os.cpu_count()))
     for key, value in {**DEFAULTS, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
