@@ -22,14 +22,15 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     now = materialise(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), label)
     state = _state(now)
     while state[0]:
+        # the least neighbours are written first, so that Spark can split the edges of a node that has very many
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), label)
+        large = materialise(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), label)
+        under = materialise(large.groupBy("u").agg(F.min("v").alias("m")), label)
+        hung = large.join(under, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = hung.unionByName(under.select("u", F.col("m").alias("v"))).distinct()
         after = materialise(small, label)
-        discard(now)
+        discard(now, least, large, under)
         release(spark)
         now, before, state = after, state, _state(after)
         if state == before:

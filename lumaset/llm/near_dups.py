@@ -248,7 +248,7 @@ def full_sets(texts: DataFrame, size: int) -> DataFrame:
 def families(signed: DataFrame) -> DataFrame:
     """(u, v): representatives that share a posting list and match in enough values, with their family's least."""
     posted = signed.select("doc", F.explode("keys").alias("key"))
-    lists = posted.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    lists = materialise(posted.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "near-counts")
     members = materialise(posted.join(lists, "key"), "near-lists").join(signed.select("doc", "bytes"), "doc")
     return components(per_group(in_blocks(members, "key", "members", LIST), "key", "bytes", match_values), "near-families")
 
@@ -268,14 +268,15 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     repeated = hasattr(rows, "_lumaset_path")
     spark = rows.sparkSession
     signed = materialise(sign(rows.select("doc", "body"), size), "near-signed")
-    same = signed.where("n > 0").groupBy("same").agg(F.min("doc").alias("rep"))
+    # aggregates are written before they are joined: then Spark can split what one set, list or family has too much of
+    same = materialise(signed.where("n > 0").groupBy("same").agg(F.min("doc").alias("rep")), "near-same")
     reps = signed.join(same.select(F.col("rep").alias("doc")), "doc", "left_semi").select("doc", "keys", "bytes")
     close = families(reps)
     release(spark)
     # the least of each family belongs to it too
     member = close.select(F.col("u").alias("doc"), F.col("v").alias("family")).unionByName(close.select("v", "v").distinct().toDF("doc", "family"))
     member = materialise(member, "near-members")
-    sizes = member.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
+    sizes = materialise(member.groupBy("family").agg(F.count(F.lit(1)).alias("members")), "near-sizes")
     chosen = F.broadcast(member) if member.count() <= BROADCAST_ROWS else member
     sets = full_sets(rows.select("doc", "body").join(chosen, "doc"), size)
     links = per_group(in_blocks(sets.join(sizes, "family"), "family", "members", FAMILY), "family", "set", match_sets(percent))
