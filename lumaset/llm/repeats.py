@@ -35,7 +35,7 @@ NAMES = ["core", "name", "doc", "lo", "hi", "anchor", "sure"]
 OUT = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 BLOCK = 16
 #: Bytes of text that are scanned at once; longer texts are scanned in overlapping parts.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 21
 
 
 def signed(x: np.ndarray) -> pa.Array:
@@ -142,15 +142,21 @@ def cut_finer(texts: DataFrame, open_: DataFrame, width: int, cut) -> DataFrame:
     return texts.join(todo, "doc").select("doc", "body", "todo").mapInArrow(work, ITEM)
 
 
-def refine(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(intervals that repeat as a whole, one item of each name whose core has several names, some of them single)."""
+def refine(found: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    """(intervals that repeat as a whole, one item of each name whose core has several names, some of them single).
+
+    Counts are written before they are joined, so that both sides of a join are shuffled for it and Spark can split
+    the rows of a name that is everywhere.
+    """
     loc = F.struct("doc", "lo", "hi", "anchor")
     names = found.groupBy("core", "name").agg(F.count(F.lit(1)).alias("n"), F.max("sure").alias("known"), F.min(loc).alias("at"))
-    names = names.withColumn("sure", (F.col("n") > 1) | F.col("known"))
-    many = names.where("sure").select("core", "name")
-    whole = found.where("not sure").join(many, ["core", "name"], "left_semi").select("doc", "lo", "hi")
+    names = materialise(names.select("core", "name", "at", ((F.col("n") > 1) | F.col("known")).alias("sure")), f"repeats-names-{level}")
     cores = names.groupBy("core").agg(F.count(F.lit(1)).alias("names"), F.min("sure").alias("all_sure")).where("names > 1 and not all_sure").select("core")
-    open_ = names.join(cores, "core", "left_semi").select("at.*", "sure")
+    cores = materialise(cores, f"repeats-cores-{level}")
+    whole = found.where("not sure").join(names.where("sure").select("core", "name"), ["core", "name"], "left_semi").select("doc", "lo", "hi")
+    whole = materialise(whole, f"repeats-whole-{level}")
+    open_ = materialise(names.join(cores, "core", "left_semi").select("at.*", "sure"), f"repeats-open-{level}")
+    discard(names, cores)
     return whole, open_
 
 
@@ -164,15 +170,15 @@ def repeated_windows(texts: DataFrame, width: int = 200, k: int = 64) -> DataFra
     release(spark)
     parts = []
     for level, cut in enumerate((block_items, window_items)):
-        whole, open_ = refine(found)
-        parts.append(materialise(whole, f"repeats-whole-{level}"))
-        open_ = materialise(open_, f"repeats-open-{level}")
+        whole, open_ = refine(found, level)
+        parts.append(whole)
         discard(found)
         release(spark)
         found = materialise(cut_finer(texts, open_, width, cut), f"repeats-finer-{level}")
         discard(open_)
         release(spark)
     same = found.groupBy("core", "name").agg(F.count(F.lit(1)).alias("n"), F.max("sure").alias("known")).where("n > 1 or known").select("core", "name")
+    same = materialise(same, "repeats-windows")
     parts.append(found.where("not sure").join(same, ["core", "name"], "left_semi").select("doc", "lo", "hi"))
     out = parts[0]
     for more in parts[1:]:
