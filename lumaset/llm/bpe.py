@@ -14,8 +14,8 @@ import unicodedata
 import numpy as np
 import pandas as pd
 
-#: Pieces that a worker remembers (about 150 MB); beyond it the memory starts anew.
-REMEMBERED = 700_000
+#: Pieces that a worker remembers (about 200 MB); beyond it the memory starts anew.
+REMEMBERED = 1_000_000
 #: Code points that are handled at once, unless a single text is longer.
 AT_ONCE = 1 << 21
 SPACE, BLANK, LETTER, NUMBER, OTHER = 0, 1, 2, 3, 4
@@ -77,7 +77,11 @@ class Encoder:
         self.used = 0
 
     def piece_ids(self, piece: str) -> list[int]:
-        spelled = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        if piece.isascii() and piece[-1:].isalnum() and piece.isprintable():
+            # only a blank that comes first is spelled otherwise
+            spelled = piece.replace(" ", self.letters[32])
+        else:
+            spelled = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
         return [t.id for t in self.model.tokenize(spelled)]
 
     def normal(self, text: str) -> str:

@@ -34,22 +34,23 @@ ROUNDS, PAIRS, LEAST = 4, 2048, 8
 SHARD_CHARS = 1 << 22
 
 
-def frequent_pairs(seq: np.ndarray, top: int, pairs: int, least: int) -> np.ndarray:
+def frequent_pairs(seq: np.ndarray, pairs: int, fewest: int) -> np.ndarray:
     """Keys (left * 2**32 + right) of frequent pairs by falling count; left and right ids are disjoint sets.
 
     Ids paired with themselves are left out: their occurrences overlap.
     """
-    bits = 20
+    bits, least = 20, fewest
     slot = ((seq[:-1] * np.uint32(0x9E3779B1)) ^ (seq[1:] * np.uint32(0x85EBCA6B))) >> np.uint32(32 - bits)
-    heavy = np.bincount(slot, minlength=1 << bits) >= least
+    counted = np.bincount(slot, minlength=1 << bits)
+    often = counted[counted >= least]
     # more than enough of the heaviest slots
-    if heavy.sum() > 4 * pairs:
-        counted = np.bincount(slot, minlength=1 << bits)
-        heavy = counted >= max(least, np.partition(counted, -4 * pairs)[-4 * pairs])
+    if len(often) > 4 * pairs:
+        least = max(least, int(np.partition(often, -4 * pairs)[-4 * pairs]))
+    heavy = counted >= least
     at = np.flatnonzero(heavy[slot] & (seq[:-1] != seq[1:]))
     keys, counts = np.unique((seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1], return_counts=True)
     order = np.argsort(-counts, kind="stable")
-    order = order[counts[order] >= least]
+    order = order[counts[order] >= fewest]
     left, right, chosen = set(), set(), []
     for key in keys[order].tolist():
         a, b = key >> 32, key & 0xFFFFFFFF
@@ -68,7 +69,7 @@ def compress(seq: np.ndarray, first: int, *, rounds: int = ROUNDS, pairs: int =
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        keys = frequent_pairs(seq, top, pairs, least)
+        keys = frequent_pairs(seq, pairs, least)
         if not len(keys):
             break
         rules.append(np.stack([keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))

@@ -167,3 +167,21 @@ def test_bounds_hold(sizes):
     bins, offsets, left = packing.best_fit_decreasing(lengths, 12)
     assert exact <= len(left) <= exact * 11 / 9 + 1
     assert all(left >= 0)
+
+
+def test_ranges_of_ids(spark):
+    import bisect
+
+    from pyspark.sql import functions as F
+
+    from lumaset.llm import ordered
+
+    rnd = random.Random(1)
+    for n in (0, 1, 3, 8, 100):
+        starts = sorted({rnd.randint(-(10**12), 10**12) for _ in range(n)})
+        keys = [rnd.randint(-(10**12), 10**12) for _ in range(30)] + starts[:20] + [None]
+        found = spark.createDataFrame([(k,) for k in keys], "k bigint").select(ordered.bucket(F.col("k"), starts).alias("b")).collect()
+        assert [r.b for r in found] == [0 if k is None else bisect.bisect_right(starts, k) for k in keys]
+    table = spark.range(1000).withColumnRenamed("id", "k")
+    assert len(ordered.bounds(table, "k", 10)) == 9
+    assert ordered.bounds(table.limit(0), "k", 10) == []
