@@ -58,6 +58,14 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None, exponent: fl
     return sizes.select("src", rate.alias("rate")).withColumn("parts", parts).withColumn("table", table)
 
 
+def _drawn(seed: Column, ident: Column) -> Column:
+    """Sum of the parts' counts; a part's uniform number is bound before the table is searched, so hashed once."""
+    uniform = lambda part: _hashed(13, seed, ident, part) / F.lit(float(2**52))
+    below = lambda u: F.size(F.filter(F.col("table"), lambda c: c <= u)).cast("bigint")
+    numbers = F.transform(F.sequence(F.lit(1), F.col("parts")), uniform)
+    return F.aggregate(F.transform(numbers, below), F.lit(0).cast("bigint"), lambda n, more: n + more)
+
+
 def mix(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent: float = 0.5, epochs: float = 1.0, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """Copies of the rows of ``docs`` in shuffled order, with copy (from 0), n_copies and shuffle_key.
 
@@ -72,14 +80,7 @@ def mix(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent: f
     ident = F.coalesce(F.col("id").cast("string"), F.lit(""))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("src"))
-    drawn = F.aggregate(
-        F.sequence(F.lit(1), F.col("parts")),
-        F.lit(0).cast("bigint"),
-        lambda n, i: n + F.size(F.filter(F.col("table"), lambda c: c <= _hashed(13, F.lit(seed), ident, i) / F.lit(float(2**52)))).cast("bigint"),
-    )
-    once = F.size(F.filter(F.col("table"), lambda c: c <= F.col("u"))).cast("bigint")
-    counted = rows.join(rates, "src").withColumn("u", _hashed(13, F.lit(seed), ident, F.lit(1)) / F.lit(float(2**52)))
-    counted = counted.withColumn("n_copies", F.when(F.col("parts") == 1, once).otherwise(drawn)).where("n_copies > 0")
+    counted = rows.join(rates, "src").withColumn("n_copies", _drawn(F.lit(seed), ident)).where("n_copies > 0")
     copies = counted.select("row", "id", "n_copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_copies") - 1)).alias("copy"))
     copies = copies.withColumn("shuffle_key", _hashed(15, F.lit(seed), F.lit("order"), ident, F.col("copy")))
     dealt = copies.repartitionByRange(partitions(docs.sparkSession), "shuffle_key", "copy").sortWithinPartitions("shuffle_key", "copy")
