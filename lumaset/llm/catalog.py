@@ -55,7 +55,8 @@ def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprint_documents(read(spark, sf_dir, "documents"))
+    """Fingerprints and, in near_id, the least id of the documents that banding and verification join."""
+    return fingerprints.with_near_ids(fingerprints.fingerprint_documents(read(spark, sf_dir, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_suffix_dedup, op3_token_counts, op4_exact_dedup, op5_token_shards, op6_quality, op7_line_dedup, op8_pack_sequences, op9_near_dups, op10_fingerprints)}

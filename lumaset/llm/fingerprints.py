@@ -9,22 +9,29 @@ verified on all samples.  All texts of a batch walk in lockstep.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ordered
-from .shared import partitions
+from .components import components
+from .near_dups import LIST, in_blocks, per_group
+from .shared import keyed, materialise, partitions, release
 from .windows import mix
 
 #: Samples in a fingerprint, random bits before they recur, classes of characters that share them.
 SAMPLES, PERIOD, CLASSES = 192, 4096, 64
 #: Code points that walk at once, unless a single text is longer.
 AT_ONCE = 1 << 23
+#: Steps up to which embeddings are cut into blocks of three, of four; samples from which they have bands in rows.
+SHORTEST, SHORT, LONG = 15, 240, 150
+#: Fingerprints that others equal or are linked with, up to which they (about 110 bytes each) are broadcast.
+BROADCAST_ROWS = 100_000
 _tables: dict = {}
 
 
@@ -194,31 +201,153 @@ def fingerprint_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     return next_rows(docs, id_col, text_col).mapInArrow(work, schema)
 
 
-def near_links(prints: DataFrame, *, bands: int = 24, width: int = 8, least: float = 0.8) -> DataFrame:
-    """(doc_id, leader, likeness): documents linked to the least id that shares one of their bands, once verified.
+def packed(fingerprint: Column) -> Column:
+    """A spelled fingerprint as bytes: eight for the steps taken, then two samples in each."""
+    samples = F.substring_index(fingerprint, ":", -1)
+    even = F.when(F.length(samples) % 2 == 1, F.concat(samples, F.lit("0"))).otherwise(samples)
+    return F.unhex(F.concat(F.lpad(F.substring_index(fingerprint, ":", 1), 16, "0"), even))
+
+
+def unpacked(raw) -> tuple[int, np.ndarray]:
+    raw = np.frombuffer(raw, np.uint8)
+    taken = int.from_bytes(raw[:8].tobytes(), "big")
+    samples = np.stack([raw[8:] >> 4, raw[8:] & 15], 1).ravel()
+    return taken, samples[: min(taken, SAMPLES)]
+
 
-    ``prints`` has doc_id and fingerprint.  A band is ``width`` samples in a row, so texts that agree in four of five
-    samples share one of 24 bands in all but 2 % of cases.  Every band of every document is looked at, against one
-    leader each, so equal bands of any number of documents give as many rows as documents.
+@functools.lru_cache(1 << 13)
+def _places(taken: int, bands: int, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(tag of each band, places in the fingerprint of its samples) for embeddings of ``taken`` steps.
+
+    Tags are of step numbers, so that embeddings of unequal length share bands.  Long ones have bands of ``width``
+    samples in a row of the shared order, from the ``bands`` steps of least hash on.  Short ones, whose samples are
+    all steps, are cut into blocks of so few steps that more lie below the shorter length than may disagree.
     """
+    order = sample_steps(taken)
+    out = []
+    if len(order) >= LONG:
+        starts = np.argsort(mix(order[: len(order) - width + 1].astype(np.uint64)), kind="stable")[:bands]
+        out.append((0, order[starts], starts[:, None] + np.arange(width)))
+    blocks = []
+    if taken <= SHORTEST:
+        blocks.append((1, np.arange(taken // 3)[:, None] * 3 + np.arange(3)))
+    if 4 <= taken <= SHORT:
+        # whole windows of 16 steps are cut into strides; the windows that a text as like may end in also into runs
+        full, tail = np.arange(taken // 16 * 4), np.arange(int(0.8125 * taken) // 16 * 4, taken // 4)
+        blocks += [(2, (full // 4 * 16 + full % 4)[:, None] + np.arange(4) * 4), (3, tail[:, None] * 4 + np.arange(4))]
+    if blocks:
+        place = np.full(taken, -1)
+        place[order] = np.arange(len(order))
+        for kind, steps in blocks:
+            at = place[steps]
+            held = (at >= 0).all(1)
+            out.append((kind, steps[held, 0], at[held]))
+    return [(mix(first.astype(np.uint64) * np.uint64(4) + np.uint64(kind)), at) for kind, first, at in out if len(at)]
+
+
+def band_keys(taken: int, samples: np.ndarray, bands: int, width: int) -> np.ndarray:
+    """Posting keys of a fingerprint's bands: hashes of step numbers and samples."""
+    keys = [np.zeros(0, np.uint64)]
+    for tag, at in _places(taken, bands, width):
+        value = tag
+        for column in samples[at].T.astype(np.uint64):
+            value = mix(value + column + np.uint64(1))
+        keys.append(value)
+    return np.concatenate(keys).view(np.int64)
+
+
+def walk_prints(raw: list, least: float) -> list[tuple[int, int]]:
+    """Links (i, j) that join packed fingerprints whose ``likeness`` is ``least``, directly or through others."""
+    prints = [unpacked(r) for r in raw]
+    steps = {taken: sample_steps(taken) for taken, _ in prints}
+    every = np.unique(np.concatenate(list(steps.values())))
+    columns = {taken: np.searchsorted(every, s) for taken, s in steps.items()}
+    table = np.full((len(prints), len(every)), 255, np.uint8)
+    for row, (taken, samples) in zip(table, prints, strict=True):
+        row[columns[taken]] = samples
+    sizes = np.array([len(samples) for _, samples in prints], np.int64)
+    links, rest = [], np.arange(len(prints))
+    while len(rest) > 1:
+        queue, rest = [int(rest[0])], rest[1:]
+        while queue and len(rest):
+            at = queue.pop()
+            taken, samples = prints[at]
+            agree = (table[np.ix_(rest, columns[taken])] == samples).sum(1)
+            share = agree / np.maximum(sizes[rest], sizes[at])
+            hit = (share - 1 / 16) / (1 - 1 / 16) >= least
+            near = rest[hit].tolist()
+            links += [(at, j) for j in near]
+            queue += near
+            rest = rest[~hit]
+    return links
+
+
+def distinct_prints(prints: DataFrame) -> DataFrame:
+    """(doc, n, print): each fingerprint once, with its least doc_id and how many rows have it."""
+    groups = prints.groupBy(packed(F.col("fingerprint")).alias("print")).agg(F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("n"))
+    return materialise(groups.select("doc", "n", "print"), "print-groups")
+
+
+def print_links(groups: DataFrame, bands: int, width: int, least: float) -> DataFrame:
+    """(u, v): links that join distinct fingerprints which share a band and are alike."""
+    if least < 0.8:
+        raise ValueError("bands are laid out for a likeness of 0.8 and more")
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [band_keys(*unpacked(raw.as_buffer()), bands, width) for raw in batch.column(1)]
+            docs = np.repeat(np.array(batch.column(0)), [len(k) for k in keys])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *keys])), pa.array(docs, pa.int64())], names=["key", "doc"])
+
+    posted = groups.select("doc", "print").mapInArrow(post, "key bigint, doc bigint")
+    members = posted.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("members > 1")
+    lists = materialise(members, "print-lists").join(groups.select("doc", "print"), "doc")
+    return per_group(in_blocks(lists, "key", "members", LIST), "key", "print", lambda raw: walk_prints(raw, least))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digits = {c: i for i, c in enumerate("0123456789abcdef")}
 
-        def parse(text: str) -> tuple[int, np.ndarray]:
-            taken, _, samples = text.partition(":")
-            return int(taken, 16), np.array([digits[c] for c in samples], np.uint8)
+def near_links(prints: DataFrame, *, bands: int = 24, width: int = 8, least: float = 0.8) -> DataFrame:
+    """(doc_id, leader, likeness): links, verified, that join documents which share a band and are alike.
+
+    ``prints`` has doc_id, unique, and fingerprint.  Equal fingerprints, empty ones too, are linked with their least
+    id.  Of the others all that share a band are compared, but for what is linked already, so n documents that are
+    alike give n - 1 links a band, and what is unlike one of them still meets the rest; lists of over LIST members
+    are compared block by block.  Up to 192 steps no pair is missed; beyond, one that agrees in ``width`` samples of
+    none of ``bands`` rows.
+    """
 
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [likeness(parse(a), parse(b)) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            found = [likeness(unpacked(a.as_buffer()), unpacked(b.as_buffer())) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["doc_id", "leader", "likeness"])
 
-    samples = F.substring_index("fingerprint", ":", -1)
-    cut = F.expr(f"filter(transform(sequence(0, {bands - 1}), b -> struct(b as band, substr(samples, b * {width} + 1, {width}) as value)), x -> length(x.value) = {width})")
-    posted = prints.withColumn("samples", samples).select("doc_id", F.explode(cut).alias("band"))
-    leaders = posted.groupBy("band").agg(F.min("doc_id").alias("leader"))
-    pairs = posted.join(leaders, "band").where("doc_id != leader").select("doc_id", "leader").distinct()
-    a = prints.select("doc_id", F.col("fingerprint").alias("a"))
-    b = prints.select(F.col("doc_id").alias("leader"), F.col("fingerprint").alias("b"))
-    both = pairs.join(a, "doc_id").join(b, "leader").select("doc_id", "leader", "a", "b")
-    return both.mapInArrow(verify, "doc_id bigint, leader bigint, likeness double").where(F.col("likeness") >= F.lit(least))
+    groups = distinct_prints(prints)
+    links = print_links(groups, bands, width, least).select(F.greatest("u", "v").alias("doc_id"), F.least("u", "v").alias("leader")).distinct()
+    a = groups.select(F.col("doc").alias("doc_id"), F.col("print").alias("a"))
+    b = groups.select(F.col("doc").alias("leader"), F.col("print").alias("b"))
+    both = links.join(a, "doc_id").join(b, "leader").select("doc_id", "leader", "a", "b")
+    unlike = both.mapInArrow(verify, "doc_id bigint, leader bigint, likeness double")
+    equal = prints.select("doc_id", packed(F.col("fingerprint")).alias("print")).join(groups.where("n > 1"), "print").where("doc_id != doc")
+    return unlike.unionByName(equal.select("doc_id", F.col("doc").alias("leader"), F.lit(1.0).alias("likeness")))
+
+
+def with_near_ids(prints: DataFrame, *, bands: int = 24, width: int = 8, least: float = 0.8) -> DataFrame:
+    """The table of ``fingerprint_documents`` and ``near_id``, the least doc_id that ``near_links`` joins a row with.
+
+    A row that is linked with nothing has its own id.  Rows that repeat an id are documents of their own.
+    """
+    prints = materialise(prints, "prints")
+    release(prints.sparkSession)
+    rows = keyed(prints, "doc_id", "node")
+    groups = distinct_prints(rows.select(F.col("node").alias("doc_id"), "fingerprint"))
+    joined = components(print_links(groups, bands, width, least), "print-components").toDF("doc", "least")
+    found = groups.join(joined, "doc", "left")
+    if hasattr(rows, "_lumaset_path"):
+        # numbers stand for ids that repeat or are null: the least number's id need not be the least
+        parts = rows.withColumn("print", packed(F.col("fingerprint"))).join(found.select("print", F.coalesce("least", "doc").alias("part")), "print")
+        parts = materialise(parts.select("node", "doc_id", "part"), "print-parts")
+        ids = materialise(parts.groupBy("part").agg(F.min("doc_id").alias("near_id")), "print-ids")
+        return rows.join(parts.join(ids, "part").select("node", "near_id"), "node").drop("node")
+    several = materialise(found.where("n > 1 or least is not null").select("print", F.coalesce("least", "doc").alias("near")), "print-near")
+    several = F.broadcast(several) if several.count() <= BROADCAST_ROWS else several
+    found = rows.withColumn("print", packed(F.col("fingerprint"))).join(several, "print", "left")
+    return found.select(*prints.columns, F.coalesce("near", "node").alias("near_id"))

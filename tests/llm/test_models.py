@@ -179,6 +179,75 @@ def test_banded_links(spark):
     assert len({d for d, _ in linked}) >= 11
 
 
+def joined(links):
+    """Least member of each linked document's component."""
+    least = {}
+
+    def top(x):
+        while least.setdefault(x, x) != x:
+            x = least[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((top(a), top(b)))
+        least[b] = a
+    return {x: top(x) for x in least}
+
+
+def test_bands_compare_more_than_leaders(spark):
+    """Each band's least holder is unlike the others that hold it, which are alike."""
+    rnd = random.Random(11)
+    text = "".join(rnd.choice("0123456789abcdef") for _ in range(192))
+    prints = []
+    for band in range(24):
+        other = "".join(rnd.choice("0123456789abcdef") for _ in range(192))
+        prints.append(other[: band * 8] + text[band * 8 : band * 8 + 8] + other[band * 8 + 8 :])
+    prints += [text, text, text[:100] + ("0" if text[100] != "0" else "1") + text[101:]]
+    table = spark.createDataFrame([(i, "7d0:" + p) for i, p in enumerate(prints)], "doc_id bigint, fingerprint string")
+    found = fingerprints.near_links(table).collect()
+    assert joined((r.doc_id, r.leader) for r in found) == {24: 24, 25: 24, 26: 24}
+    assert all(r.likeness >= 0.8 for r in found)
+
+
+def test_short_texts_are_linked(spark):
+    """Short texts are linked as comparing all pairs links them."""
+    rnd = random.Random(12)
+    texts = ["", "", "a", "a", "bc", "bc"]
+    for _ in range(40):
+        base = [rnd.choice("abcdefghij ") for _ in range(rnd.randint(1, 90))]
+        texts.append("".join(base))
+        texts.append("".join(base) + rnd.choice("xyz"))
+        base[rnd.randrange(len(base))] = "z"
+        texts.append("".join(base))
+    own = fingerprints.fingerprints(texts)
+    pairs = [(i, j) for j in range(len(own)) for i in range(j) if fingerprints.likeness(own[i], own[j]) >= 0.8]
+    table = spark.createDataFrame([(i, fingerprints.spelled(*p)) for i, p in enumerate(own)], "doc_id bigint, fingerprint string")
+    assert joined((r.doc_id, r.leader) for r in fingerprints.near_links(table).collect()) == joined(pairs)
+
+
+def test_blocks_compare_all_in_a_band(spark, monkeypatch):
+    rnd = random.Random(13)
+    text = "".join(rnd.choice("0123456789abcdef") for _ in range(192))
+    table = spark.createDataFrame([(i, "7d0:" + text[:i] + "0" + text[i + 1 :]) for i in range(30)], "doc_id bigint, fingerprint string")
+    monkeypatch.setattr(fingerprints, "LIST", 4)
+    assert set(joined((r.doc_id, r.leader) for r in fingerprints.near_links(table).collect()).values()) == {0}
+
+
+def test_fingerprint_query_links(spark, docs, twice, no_docs, rows):
+    found = fingerprints.with_near_ids(fingerprints.fingerprint_documents(docs)).collect()
+    own = [(r[0], fingerprints.fingerprints([r[1] or ""])[0]) for r in rows]
+    links = [(i, j) for n, (j, b) in enumerate(own) for i, a in own[:n] if fingerprints.likeness(a, b) >= 0.8]
+    least = joined(links)
+    assert {r.doc_id: r.near_id for r in found} == {i: least.get(i, i) for i, _ in own}
+    again = fingerprints.with_near_ids(fingerprints.fingerprint_documents(twice))
+    assert again.columns[-1] == "near_id"
+    # the row of nulls is an empty text, whose least id counts
+    empty = least[next(i for i, t, _ in rows if not t)]
+    assert sorted((r.doc_id or 0, r.near_id) for r in again.collect()) == sorted([(r.doc_id, r.near_id) for r in found] * 2 + [(0, empty)])
+    assert fingerprints.with_near_ids(fingerprints.fingerprint_documents(no_docs)).count() == 0
+    assert "near_id" in catalog.op10_fingerprints(spark, "/root/testdata/sf0.001").columns
+
+
 def test_pipeline_stages_in_order(spark, monkeypatch):
     """Each stage against a plain version of it on the driver's smallest tables."""
     from test_dedup import expected_exact, expected_near
