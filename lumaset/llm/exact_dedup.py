@@ -1,10 +1,14 @@
 """Exact dedup on an extendible-hash index held in shared files.
 
-Rows are fingerprinted, equal texts are chained by comparing their whole bytes (grouping by fingerprint
-*and* text, combined on the map side, so a text that a third of the rows hold costs one row per task), and the
-chains become index entries.  A directory doubles until no bucket holds more entries than its capacity; each
-bucket is a range of fingerprints, and the tasks that own a range write it to the index files.  Every row then
-looks its chain up by fingerprint and digest.  DataFrame operations only.
+1. Rows are fingerprinted, and fingerprints are counted.  A directory doubles where a bucket would hold more
+   fingerprints than its capacity; each bucket is a range of fingerprints.
+2. Rows are routed to the owner of their bucket by the directory.  Owners chain the different texts of a fingerprint by
+   comparing their bytes, and write each chain's links to the index files.  The rows of a fingerprint that very
+   many share are first dealt to several assistants of the owner, which pass on one link for each text.
+3. Every row looks its bucket up in the directory and its link in the bucket, by fingerprint, and by bytes where a
+   chain has several links.
+
+DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -14,87 +18,144 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialise, partitions, without
+from . import ordered
+from .shared import discard, materialise, partitions, without
 
 OUT = ("keep_id", "group_size", "kept", "text_sha256")
+#: Fingerprints that a bucket holds at most; more only where there would be over MOST buckets.
+CAPACITY, MOST = 2048, 1 << 17
+#: Bits by which cells are divided at a time to find overfull buckets, and rows that one task owns of a fingerprint.
+STEP, HOT = 4, 1024
+_HALF = 1 << 63
 
 
 @dataclass(frozen=True)
 class Bucket:
-    """Entries whose fingerprint starts with the ``depth`` bits ``prefix``."""
+    """Entries whose fingerprint, its sign flipped, starts with the ``depth`` bits ``prefix``."""
 
     prefix: int
     depth: int
     entries: int
 
+    @property
+    def start(self) -> int:
+        return (self.prefix << (64 - self.depth)) - _HALF
 
-def build_directory(cells: dict[int, int], max_depth: int, capacity: int) -> list[Bucket]:
-    """Split overfull buckets, doubling the directory, until each holds at most ``capacity`` entries.
 
-    ``cells`` counts entries by their first ``max_depth`` bits; a bucket of that depth is not split further.
+def cell_of(fp: Column, depth: int) -> Column:
+    """The first ``depth`` bits; ascending cells are ascending fingerprints."""
+    return F.shiftrightunsigned(fp.bitwiseXOR(F.lit(-_HALF).cast("bigint")), 64 - depth) if depth else F.lit(0).cast("bigint")
+
+
+def build_directory(prints: DataFrame, capacity: int = CAPACITY, most: int = MOST) -> list[Bucket]:
+    """Buckets by ascending start over distinct fingerprints (``fp``), each with ``capacity`` entries at most.
+
+    Cells of so many bits that buckets should fit are counted; those that overflow are divided by STEP more bits, again
+    and again.  Neighbouring halves that fit into one bucket are one.  The driver holds about 4 * ``most`` counts.
     """
-    done, open_ = [], [(0, 0, cells)]
-    while open_:
-        prefix, depth, inside = open_.pop()
-        total = sum(inside.values())
-        if total <= capacity or depth == max_depth:
+    entries = prints.count()
+    capacity = max(capacity, -(-entries // most))
+    depth = min(64, max(0, -(-entries // capacity) - 1).bit_length())
+    cells, open_ = {}, None
+    while True:
+        counted = prints if open_ is None else prints.join(F.broadcast(open_), cell_of(F.col("fp"), depth - grown) == F.col("cell"), "left_semi")
+        found = {(r["cell"] % (1 << 64), depth): r["n"] for r in counted.groupBy(cell_of(F.col("fp"), depth).alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        over = [prefix for (prefix, _), n in found.items() if n > capacity and depth < 64]
+        cells.update({k: n for k, n in found.items() if n <= capacity or depth == 64})
+        if not over:
+            break
+        grown = min(STEP, 64 - depth)
+        depth += grown
+        open_ = prints.sparkSession.createDataFrame([(p,) for p in over], "cell bigint")
+    return split_buckets(cells, capacity)
+
+
+def split_buckets(cells: dict[tuple[int, int], int], capacity: int) -> list[Bucket]:
+    """Double the directory from one bucket until each holds at most ``capacity`` or is a single cell (prefix, depth)."""
+    done, todo = [], [(0, 0, sorted(cells.items()))]
+    while todo:
+        prefix, depth, inside = todo.pop()
+        total = sum(n for _, n in inside)
+        if total <= capacity or all(d <= depth for (_, d), _ in inside):
             done.append(Bucket(prefix, depth, total))
             continue
-        bit = max_depth - depth - 1
         for side in (0, 1):
-            open_.append((prefix * 2 + side, depth + 1, {k: n for k, n in inside.items() if (k >> bit) & 1 == side}))
-    return sorted(done, key=lambda b: b.prefix << (max_depth - b.depth))
+            todo.append((prefix * 2 + side, depth + 1, [x for x in inside if (x[0][0] >> (x[0][1] - depth - 1)) & 1 == side]))
+    return sorted(done, key=lambda b: b.start)
+
+
+def bucket_of(fp: Column, directory: list[Bucket]) -> Column:
+    """Number of the bucket that holds a fingerprint."""
+    return ordered.bucket(fp, [b.start for b in directory[1:]])
 
 
-def build_index(rows: DataFrame, max_depth: int = 12, capacity: int = 250_000) -> tuple[DataFrame, list[Bucket]]:
-    """Index files and directory over rows of (fp, body, sha, id).
+def build_index(rows: DataFrame, *, capacity: int = CAPACITY, hot: int = HOT) -> tuple[DataFrame, list[Bucket]]:
+    """Index files (bucket, fp, links, body, text_sha256, keep_id, group_size) and the directory over rows of (id, body, fp).
 
-    The directory is read on the driver: at most 2**max_depth counts.  ``texts`` over 1 tells that different
-    texts share fingerprint and digest; those entries are chained by text when rows look them up.
+    ``links`` is the length of the chain; ``body`` is kept only where it is over 1, for lookups to compare.
     """
-    spark = rows.sparkSession
-    chains = rows.groupBy("fp", "body").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    chains = chains.select("fp", F.sha2("body", 256).alias("sha"), "keep_id", "group_size")
-    entries = materialise(chains.groupBy("fp", "sha").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts")), "exact-entries")
-    cell = F.shiftrightunsigned("fp", 64 - max_depth).cast("int")
-    counted = {r["cell"]: r["n"] for r in entries.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    directory = build_directory(counted, max_depth, capacity)
-    starts = [(b.prefix << (max_depth - b.depth), (b.prefix + 1) << (max_depth - b.depth), i) for i, b in enumerate(directory)]
-    slots = [(c, i) for lo, hi, i in starts for c in range(lo, hi)]
-    # at most 2**max_depth rows, whatever the input
-    cells = F.broadcast(spark.createDataFrame(slots, "cell int, bucket int"))
-    placed = entries.withColumn("cell", cell).join(cells, "cell").drop("cell")
-    owners = min(partitions(spark), max(1, len(directory)))
-    return materialise(placed.repartitionByRange(owners, "bucket", "fp").sortWithinPartitions("bucket", "fp", "sha"), "exact-index"), directory
-
-
-def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fingerprint: Column | None = None, max_depth: int = 12, capacity: int = 250_000) -> DataFrame:
+    counts = materialise(rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n")), "exact-prints")
+    directory = build_directory(counts, capacity)
+    tasks = partitions(rows.sparkSession)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    share = max(hot, total // (4 * tasks))
+    # each holds more than ``share`` rows, so there are at most 4 * tasks of them
+    shared = F.broadcast(counts.where(F.col("n") > share).select("fp", F.ceil(F.col("n") / F.lit(share)).alias("ways")))
+    routed = rows.join(shared, "fp", "left").withColumn("bucket", bucket_of(F.col("fp"), directory))
+    routed = routed.withColumn("way", F.when(F.col("ways").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("ways"))).cast("int"))
+    # the owner of a bucket gets its rows whole; the aggregate that chains them compares bytes where it stands
+    owned = routed.select("bucket", "way", "fp", F.col("ways").isNotNull().alias("dealt"), "id", "body").repartition(tasks, "bucket", "way")
+    links = owned.groupBy("bucket", "way", "fp", "dealt", "body").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    links = materialise(links, "exact-links")
+    dealt = links.where("dealt").groupBy("bucket", "fp", "body").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    links = links.where("not dealt").select("bucket", "fp", "body", "keep_id", "group_size").unionByName(dealt)
+    chains = links.groupBy("bucket", "fp").agg(F.count(F.lit(1)).alias("links")).where("links > 1")
+    several = materialise(chains, "exact-chains")
+    known = links.select("bucket", "fp", F.sha2("body", 256).alias("text_sha256"), "keep_id", "group_size", "body")
+    if several.isEmpty():
+        index = known.select("bucket", "fp", F.lit(1).cast("bigint").alias("links"), F.lit(None).cast("string").alias("body"), "text_sha256", "keep_id", "group_size")
+    else:
+        index = known.join(several, ["bucket", "fp"], "left").select("bucket", "fp", F.coalesce("links", F.lit(1).cast("bigint")).alias("links"), F.when(F.col("links") > 1, F.col("body")).alias("body"), "text_sha256", "keep_id", "group_size")
+    index = materialise(index, "exact-index")
+    discard(several, counts)
+    return index, directory
+
+
+def look_up(rows: DataFrame, index: DataFrame, directory: list[Bucket]) -> DataFrame:
+    """Rows with a ``fp`` and a ``body`` and what their bucket says of them; a row that its bucket lacks is not found."""
+    placed = rows.withColumn("bucket", bucket_of(F.col("fp"), directory))
+    link = ["keep_id", "group_size", "text_sha256"]
+    others = [c for c in rows.columns if c not in ("fp", "body")]
+    found = placed.select("bucket", "fp", *others).join(index.where("links = 1").select("bucket", "fp", *link), ["bucket", "fp"]).select(*others, *link)
+    chained = index.where("links > 1")
+    if not chained.isEmpty():
+        compared = placed.join(chained.select("bucket", "fp", "body", *link), ["bucket", "fp", "body"])
+        found = found.unionByName(compared.select(*others, *link))
+    return found
+
+
+def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fingerprint: Column | None = None, capacity: int = CAPACITY, hot: int = HOT) -> DataFrame:
     """All rows and columns of ``docs`` with keep_id, group_size, kept and text_sha256.
 
-    Texts are equal when their bytes are; null counts as empty.  The largest id of equal texts stays.  Rows that
-    repeat an id and its text tie: all of them are marked as kept.  A null id never stays beside other ids.
-    Empty tables give empty results; input columns named like an output column are replaced.
+    Texts are equal when their bytes are; null counts as empty; texts of any length are compared whole.  The largest id
+    of equal texts stays.  Rows that repeat an id and its text tie: all of them are marked as kept.  A null id never
+    stays beside other ids.  Empty tables give empty results; input columns named like an output column are replaced.
     ``fingerprint`` (a bigint expression over the column ``body``) is exchangeable to test collisions.
     """
     docs = without(docs, *OUT)
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     fp = F.xxhash64("body") if fingerprint is None else fingerprint
-    rows = docs.select(F.col(id_col).alias("id"), body.alias("body")).withColumn("fp", fp).select("id", "body", "fp")
-    index, _ = build_index(rows, max_depth, capacity)
+    rows = docs.select(F.col(id_col).alias("id"), body.alias("body")).withColumn("fp", fp)
+    index, directory = build_index(rows, capacity=capacity, hot=hot)
     # the struct keeps clashing names of the input apart
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), body.alias("body"))
-    keyed = keyed.withColumn("fp", fp).withColumn("sha", F.sha2("body", 256))
-    shared = index.where("texts > 1")
-    found = keyed.join(index.where("texts = 1").select("fp", "sha", "keep_id", "group_size"), ["fp", "sha"])
-    if not shared.isEmpty():
-        chains = rows.withColumn("sha", F.sha2("body", 256)).join(shared.select("fp", "sha"), ["fp", "sha"], "left_semi")
-        chains = chains.groupBy("fp", "sha", "body").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        apart = keyed.join(chains, ["fp", "sha", "body"])
-        found = found.unionByName(apart.select(*found.columns))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), body.alias("body")).withColumn("fp", fp)
+    found = look_up(keyed, index, directory)
     kept = F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull())
-    return found.select("row.*", "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"))
+    return found.select("row.*", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 
 
-def drop_exact_copies(docs: DataFrame, **options) -> DataFrame:
-    """The rows that stay, with the columns of ``docs``."""
-    return exact_dedup(docs, **options).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in OUT])
+def drop_exact_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows that stay, with the columns of ``docs``, whatever their names; else as ``exact_dedup``."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = exact_dedup(docs.select(row, F.col(id_col).alias("id"), F.col(text_col).alias("text")), id_col="id", text_col="text", **options)
+    return found.where("kept").select("row.*")

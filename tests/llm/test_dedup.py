@@ -24,7 +24,7 @@ def expected_exact(rows):
 
 @pytest.mark.parametrize("weak", [False, True])
 def test_exact(docs, rows, weak):
-    options = {"fingerprint": F.length("body").cast("bigint"), "capacity": 4, "max_depth": 6} if weak else {}
+    options = {"fingerprint": F.length("body").cast("bigint"), "capacity": 4, "hot": 3} if weak else {}
     found = exact_dedup.exact_dedup(docs, **options)
     assert found.columns == ["doc_id", "text", "source", "score", "row", "keep_id", "group_size", "kept", "text_sha256"]
     assert {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in found.collect()} == expected_exact(rows)
@@ -34,24 +34,58 @@ def test_exact_chains_collisions(spark, monkeypatch):
     # fingerprint and digest both collide: only the bytes tell the texts apart
     monkeypatch.setattr(exact_dedup.F, "sha2", lambda column, bits: F.lit("same"))
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "b"), (5, "c")], "doc_id bigint, text string")
-    found = exact_dedup.exact_dedup(df, fingerprint=F.lit(7).cast("bigint")).collect()
-    assert {r.doc_id: (r.keep_id, r.group_size) for r in found} == {1: (3, 2), 3: (3, 2), 2: (4, 2), 4: (4, 2), 5: (5, 1)}
+    for hot in (1, 1024):
+        found = exact_dedup.exact_dedup(df, fingerprint=F.lit(7).cast("bigint"), hot=hot).collect()
+        assert {r.doc_id: (r.keep_id, r.group_size) for r in found} == {1: (3, 2), 3: (3, 2), 2: (4, 2), 4: (4, 2), 5: (5, 1)}
 
 
 def test_exact_edges(no_docs, twice, docs, rows):
     assert exact_dedup.exact_dedup(no_docs).count() == 0
-    assert exact_dedup.exact_dedup(twice).count() == 2 * len(rows) + 1
-    kept = exact_dedup.drop_exact_copies(docs.drop("kept"))
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, e in expected_exact(rows).items() if e[2])
-
-
-def test_directory_splits_until_buckets_fit():
-    cells = {c: 10 for c in range(16)} | {3: 1000}
-    found = exact_dedup.build_directory(cells, 4, 40)
+    want = expected_exact(rows)
+    found = exact_dedup.exact_dedup(twice).collect()
+    assert len(found) == 2 * len(rows) + 1
+    # the row of nulls is one more empty text, and its id stays beside no other
+    more = {i: 2 * want[i][1] + (not t) for i, t, _ in rows}
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in found if r.doc_id is not None} == {(i, want[i][0], more[i], want[i][2]) for i, *_ in rows}
+    assert [r.kept for r in found if r.doc_id is None] == [False]
+    kept = exact_dedup.drop_exact_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, e in want.items() if e[2])
+    assert {r.kept for r in kept.collect()} == {"x"}
+
+
+def test_results_come_from_the_index_files(docs, rows):
+    table = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("body")).withColumn("fp", F.xxhash64("body"))
+    index, directory = exact_dedup.build_index(table, capacity=8)
+    assert len(directory) > 4
+    assert all(b.entries <= 8 for b in directory)
+    whole = exact_dedup.look_up(table, index, directory).collect()
+    assert {r.id: (r.keep_id, r.group_size, r.text_sha256) for r in whole} == {i: (*e[:2], e[3]) for i, e in expected_exact(rows).items()}
+    # a bucket whose file is damaged: its rows, and only they, are told something else or not found
+    owner = {r.id: r.b for r in table.select("id", exact_dedup.bucket_of(F.col("fp"), directory).alias("b")).collect()}
+    lost = exact_dedup.look_up(table, index.where("bucket != 2"), directory).collect()
+    assert {r.id for r in whole} - {r.id for r in lost} == {i for i, b in owner.items() if b == 2} != set()
+    changed = exact_dedup.look_up(table, index.withColumn("keep_id", F.when(F.col("bucket") == 3, -1).otherwise(F.col("keep_id"))), directory).collect()
+    assert {r.id for r in changed if r.keep_id == -1} == {i for i, b in owner.items() if b == 3} != set()
+    # a wrong directory sends rows to buckets that don't have them
+    assert exact_dedup.look_up(table, index, directory[1:]).count() < len(rows)
+
+
+def test_directory_splits_until_buckets_fit(spark):
+    cells = {(c, 4): 10 for c in range(16) if c != 3} | {(3 * 16 + c, 8): 30 for c in range(16)}
+    found = exact_dedup.split_buckets(cells, 40)
     assert sum(b.entries for b in found) == sum(cells.values())
-    assert all(b.entries <= 40 or b.depth == 4 for b in found)
-    covered = [c for b in found for c in range(b.prefix << (4 - b.depth), (b.prefix + 1) << (4 - b.depth))]
-    assert covered == list(range(16))
+    assert all(b.entries <= 40 for b in found)
+    edges = [b.start for b in found] + [2**63]
+    assert edges[0] == -(2**63)
+    assert all(a + (1 << (64 - b.depth)) == z for a, b, z in zip(edges, found, edges[1:]))
+    # fingerprints close to each other, at both ends of their range and all alike
+    for values in ([7, 8, 9, 10, -5, 2**63 - 1, -(2**63), 2**40], [3], []):
+        prints = spark.createDataFrame([(v,) for v in values], "fp bigint")
+        directory = exact_dedup.build_directory(prints, 2)
+        assert all(b.entries <= 2 for b in directory)
+        got = prints.select("fp", exact_dedup.bucket_of(F.col("fp"), directory).alias("b")).collect()
+        assert all(directory[r.b].start <= r.fp < (directory[r.b + 1].start if r.b + 1 < len(directory) else 2**63) for r in got)
 
 
 def shingles(text, size):
