@@ -7,17 +7,21 @@ gathered from there.  The ids are those of ``encode_batch(texts, add_special_tok
 
 from __future__ import annotations
 
-import json
+import re
 import sys
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-
-#: Pieces that a worker remembers (about 200 MB); beyond it the memory starts anew.
-REMEMBERED = 1_000_000
-#: Code points that are handled at once, unless a single text is longer.
-AT_ONCE = 1 << 21
+import pyarrow as pa
+
+#: Pieces that a worker remembers, at about 40 bytes each; beyond it the memory starts anew.
+REMEMBERED = 400_000
+#: Code points that are handled at once, about 100 bytes each; longer texts are cut before white space.
+AT_ONCE = 1 << 19
+#: Where a text can be cut: every pattern starts a piece at white space that follows a word character.
+_CUT = re.compile(r"(?<=\w)[ \n\t]")
 SPACE, BLANK, LETTER, NUMBER, OTHER = 0, 1, 2, 3, 4
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _tables: dict[str, np.ndarray] = {}
@@ -42,14 +46,27 @@ def classes() -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2**64."""
-    if len(_tables.get("up", ())) < n:
-        size = max(n, AT_ONCE)
+    """Powers of an odd number and of its inverse modulo 2**64; tables for more than AT_ONCE aren't kept."""
+    held = _tables if n <= AT_ONCE else {}
+    if len(held.get("up", ())) < n:
         for name, base in (("up", _MULTIPLIER), ("down", pow(_MULTIPLIER, -1, 1 << 64))):
-            steps = np.full(size, np.uint64(base))
+            steps = np.full(max(n, AT_ONCE), np.uint64(base))
             steps[0] = 1
-            _tables[name] = np.multiply.accumulate(steps)
-    return _tables["up"][:n], _tables["down"][:n]
+            held[name] = np.multiply.accumulate(steps)
+    return held["up"][:n], held["down"][:n]
+
+
+def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int, list[str]]]:
+    """(lo, hi, texts) of a column of strings, about ``most`` bytes at a time; null is an empty text."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(np.array(pc.fill_null(pc.binary_length(column), 0)), dtype=np.int64)
+    lo = 0
+    while lo < len(ends):
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "left")) + 1
+        hi = min(hi, len(ends))
+        yield lo, hi, [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
+        lo = hi
 
 
 def byte_letters() -> dict[int, str]:
@@ -67,14 +84,14 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         # a normaliser and a splitting pattern: white space goes, case folds, digits stand alone
-        self.folded = bool(json.loads(self.tokenizer.to_str()).get("normalizer"))
+        self.folded = self.tokenizer.normalizer is not None
         self.letters = byte_letters()
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat, self.first, self.count = np.zeros(1 << 20, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.used = 0
+        """Pieces by ascending hash, with the place and number of their ids in ``flat``."""
+        self.known, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def piece_ids(self, piece: str) -> list[int]:
         if piece.isascii() and piece[-1:].isalnum() and piece.isprintable():
@@ -124,18 +141,23 @@ class Encoder:
             after = after[inside(where, k + 1)]
             starts[after[kind[after] == LETTER]] = True
 
-    def learn(self, hashes: list[int], pieces: list[str]) -> None:
-        for h, piece in zip(hashes, pieces, strict=True):
-            ids = self.piece_ids(piece)
-            slot = len(self.known)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            if slot == len(self.first):
-                self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.first[slot], self.count[slot] = self.used, len(ids)
-            self.used += len(ids)
-            self.known[h] = slot
+    def learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Remember pieces that aren't known yet; ``hashes`` ascend."""
+        found = [self.piece_ids(piece) for piece in pieces]
+        count = np.fromiter(map(len, found), np.int32, len(found))
+        ids = np.fromiter((i for piece in found for i in piece), np.uint32, int(count.sum()))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.first = np.insert(self.first, at, self.used + np.cumsum(count, dtype=np.int64) - count)
+        self.count = np.insert(self.count, at, count)
+        self.used += len(ids)
+
+    def unknown(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
+        return self.known[at] != hashes if len(self.known) else np.ones(len(hashes), bool)
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         joined = "".join(texts)
@@ -159,16 +181,17 @@ class Encoder:
         np.cumsum((cps.astype(np.uint64) + np.uint64(1)) * up, out=total[1:])
         hashes = (total[stop] - total[at]) * down[at]
         codes, different = pd.factorize(hashes)
-        if len(self.known) + len(different) > REMEMBERED:
+        new = self.unknown(different)
+        if len(self.known) + int(new.sum()) > REMEMBERED:
             self.forget()
-        keys = different.tolist()
-        new = [i for i, h in enumerate(keys) if h not in self.known]
-        if new:
-            where = np.empty(len(keys), np.int64)
+            new[:] = True
+        if new.any():
+            where = np.empty(len(different), np.int64)
             where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-            chosen = where[new]
-            self.learn([keys[i] for i in new], [joined[a:b] for a, b in zip(at[chosen].tolist(), stop[chosen].tolist(), strict=True)])
-        slots = np.fromiter((self.known[h] for h in keys), np.int64, len(keys))
+            chosen = np.flatnonzero(new)
+            chosen = chosen[np.argsort(different[chosen])]
+            self.learn(different[chosen], [joined[a:b] for a, b in zip(at[where[chosen]].tolist(), stop[where[chosen]].tolist(), strict=True)])
+        slots = np.searchsorted(self.known, different)
         counts = self.count[slots][codes]
         sums = np.zeros(len(counts) + 1, np.int64)
         np.cumsum(counts, out=sums[1:])
@@ -178,21 +201,30 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each text has."""
-        if self.folded:
-            texts = [self.normal(t) for t in texts]
-        ids, counts, batch, size = [], [], [], 0
-        for text in [*texts, None]:
-            if batch and (text is None or size + len(text) > AT_ONCE):
+        ids, counts = [np.zeros(0, np.uint32)], np.zeros(len(texts), np.int64)
+        batch, owners, size = [], [], 0
+        for owner, part in [*parts(texts, self.normal if self.folded else str), (0, None)]:
+            if batch and (part is None or size + len(part) > AT_ONCE):
                 one, n = self._encode(batch)
                 ids.append(one)
-                counts.append(n)
-                batch, size = [], 0
-            if text is not None:
-                batch.append(text)
-                size += len(text)
-        if not counts:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        return np.concatenate(ids), np.concatenate(counts)
+                np.add.at(counts, owners, n)
+                batch, owners, size = [], [], 0
+            if part is not None:
+                batch.append(part)
+                owners.append(owner)
+                size += len(part)
+        return np.concatenate(ids), counts
+
+
+def parts(texts: list[str], normal) -> Iterator[tuple[int, str]]:
+    """(number of the text, part): texts, or parts of long ones that are encoded alike."""
+    for owner, text in enumerate(texts):
+        text = normal(text)
+        lo = 0
+        while len(text) - lo > AT_ONCE and (cut := _CUT.search(text, lo + max(1, AT_ONCE - 256))):
+            yield owner, text[lo : cut.start()]
+            lo = cut.start()
+        yield owner, text[lo:] if lo else text
 
 
 def encoder(path: str) -> Encoder:

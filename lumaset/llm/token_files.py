@@ -18,49 +18,64 @@ from . import bpe
 from .shared import scratch_path
 
 #: Ids in a file at least, but for the last of a task; with one text more at most.
-FILE_IDS = 1 << 22
+FILE_IDS = 1 << 23
 BLOCK_BYTES = 1 << 18
+#: Bytes of text that are encoded at once, and document ids in a row of their list.
+AT_ONCE, LISTED = 1 << 20, 1 << 14
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str, end: int, *, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS) -> None:
     """Write <path>/file=<name>/kind=ids (flat token files) and kind=docs (the ids of their documents, 64-bit).
 
     Documents keep the order in which tasks read them.  Null texts are empty; a null id is written as -2**63.
+    Rows of about AT_ONCE bytes of text go to the writer, so a task holds no whole file; a row holds whole documents,
+    so that one text's ids, two bytes each, must fit.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, task, number = bpe.encoder(vocabulary), TaskContext.get().partitionId(), 0
-        flat, names, size = [], [], 0
-
-        def out() -> pa.RecordBatch:
-            name = f"{task:07d}-{number:05d}"
-            # the writer closes each row with the separator, which is the end id of the last document
-            body = [np.concatenate(flat)[:-1].astype("<u2").tobytes(), np.concatenate(names).astype("<i8").tobytes()]
-            return pa.RecordBatch.from_arrays([pa.array([name] * 2), pa.array(["ids", "docs"]), pa.array(body, pa.binary())], names=["file", "kind", "body"])
+        enc, task, file, row = bpe.encoder(vocabulary), TaskContext.get().partitionId(), 0, 0
+        names, listed, size = [], 0, 0
+
+        def rows(kind: str, body: bytes) -> pa.RecordBatch:
+            nonlocal row
+            row += 1
+            columns = [pa.array([f"{task:07d}-{file:05d}"]), pa.array([kind]), pa.array([row], pa.int32()), pa.array([body], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["file", "kind", "row", "body"])
+
+        def documents(all_of_them: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal names, listed
+            if listed >= LISTED or (all_of_them and listed):
+                keys = np.concatenate(names)
+                for a in range(0, len(keys), LISTED):
+                    if a + LISTED <= len(keys) or all_of_them:
+                        yield rows("docs", keys[a : a + LISTED].astype("<i8").tobytes())
+                keys = keys[:0] if all_of_them else keys[len(keys) // LISTED * LISTED :]
+                names, listed = [keys], len(keys)
 
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             keys = np.array(batch.column(0).fill_null(-(2**63)))
-            for lo, hi in chunks(texts, file_ids):
-                ids, _ = bpe.with_end(*enc.encode([t or "" for t in texts[lo:hi]]), end)
-                flat.append(ids)
+            for lo, hi, texts in bpe.slices(batch.column(1), AT_ONCE):
+                ids, _ = bpe.with_end(*enc.encode(texts), end)
+                # the writer closes each row with the separator, which is the end id of the last document
+                yield rows("ids", ids[:-1].astype("<u2").tobytes())
                 names.append(keys[lo:hi])
+                listed += hi - lo
                 size += len(ids)
+                yield from documents(size >= file_ids)
                 if size >= file_ids:
-                    yield out()
-                    flat, names, size, number = [], [], 0, number + 1
-        if size:
-            yield out()
+                    size, file = 0, file + 1
+        yield from documents(True)
 
     if not 0 <= end < 1 << 16:
         raise ValueError("ids are written in 16 bits")
     separator = bytes([end & 255, end >> 8]).decode("latin-1")
-    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")).mapInArrow(encode, "file string, kind string, body binary")
-    writer = rows.withColumn("body", F.col("body").cast("string")).write.partitionBy("file", "kind")
+    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")).mapInArrow(encode, "file string, kind string, row int, body binary")
+    # the writer's own order is this one but for the last column, so it doesn't sort again
+    rows = rows.select("file", "kind", "row", F.col("body").cast("string").alias("body")).sortWithinPartitions("file", "kind", "row")
     # raw bytes go through the text writer, so files are committed by Spark and land on any store that it knows
-    writer.option("encoding", "ISO-8859-1").option("lineSep", separator).text(path)
+    rows.select("file", "kind", "body").write.partitionBy("file", "kind").option("encoding", "ISO-8859-1").option("lineSep", separator).text(path)
 
 
 def chunks(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
@@ -75,29 +90,25 @@ def chunks(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
-def read_blocks(spark: SparkSession, path: str, kind: str, block_bytes: int) -> DataFrame:
-    """(file, block, body): the files' bytes in blocks."""
+def read_files(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """(file, content), content being read by the task that uses it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(F.col("path").contains(f"/kind={kind}/"))
-    name = F.regexp_extract("path", "/file=([^/]+)/", 1).alias("file")
-    size = F.col("length").cast("int")
-    number = F.explode(F.sequence(F.lit(0), F.floor((size - 1) / F.lit(block_bytes)).cast("int"))).alias("block")
-    return files.where("length > 0").select(name, "content", number).select("file", "block", F.col("content").substr(F.col("block") * F.lit(block_bytes) + 1, F.lit(block_bytes)).alias("body"))
+    return files.select(F.regexp_extract("path", "/file=([^/]+)/", 1).alias("file"), "content")
 
 
-def scan_block(end: int):
+def scan_blocks(end: int, block_bytes: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per block: ids, ends, ids up to the first end, ids behind the last, and the lengths between."""
         for batch in batches:
-            rows = []
-            for body in batch.column(2):
-                ids = np.frombuffer(body.as_buffer(), "<u2")
-                at = np.flatnonzero(ids == end)
-                rows.append((len(ids), len(at), int(at[0]) + 1 if len(at) else 0, len(ids) - int(at[-1]) - 1 if len(at) else len(ids), np.diff(at)))
-            ids, ends, head, tail, inner = zip(*rows, strict=True) if rows else ([],) * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(x, pa.int64()) for x in (ids, ends, head, tail)), pa.array(inner, pa.list_(pa.int64()))],
-                names=["file", "block", "ids", "ends", "head", "tail", "inner"],
-            )
+            for file, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = content.as_buffer()
+                for block, lo in enumerate(range(0, len(raw), block_bytes)):
+                    ids = np.frombuffer(raw[lo : lo + block_bytes], "<u2")
+                    at = np.flatnonzero(ids == end)
+                    head, tail = (int(at[0]) + 1, len(ids) - int(at[-1]) - 1) if len(at) else (0, len(ids))
+                    row = [[file], [block], [len(ids)], [len(at)], [head], [tail], [np.diff(at)]]
+                    kinds = (pa.string(), pa.int32(), *[pa.int64()] * 4, pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=["file", "block", "ids", "ends", "head", "tail", "inner"])
 
     return scan
 
@@ -109,7 +120,7 @@ def count_tokens(spark: SparkSession, path: str, end: int, *, block_bytes: int =
     """
     if block_bytes % 2:
         raise ValueError("a block holds whole ids")
-    blocks = read_blocks(spark, path, "ids", block_bytes).mapInArrow(scan_block(end), "file string, block int, ids bigint, ends bigint, head bigint, tail bigint, inner array<bigint>")
+    blocks = read_files(spark, path, "ids").mapInArrow(scan_blocks(end, block_bytes), "file string, block int, ids bigint, ends bigint, head bigint, tail bigint, inner array<bigint>")
     order = Window.partitionBy("file").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     # what lies behind the last end id of the blocks before: their ids less those up to that end id
@@ -130,12 +141,13 @@ def listed_documents(spark: SparkSession, path: str) -> DataFrame:
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = body.as_py()
-                ids = np.frombuffer(raw[: len(raw) // 8 * 8], "<i8")
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(ids)), pa.array(np.arange(len(ids))), pa.array(ids)], names=["file", "ordinal", "doc_id"])
+                raw, stride = body.as_buffer(), 8 * LISTED + 2
+                # each row of the list is closed by the separator
+                for row, lo in enumerate(range(0, len(raw), stride)):
+                    ids = np.frombuffer(raw[lo : min(lo + stride, len(raw)) - 2], "<i8")
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(ids)), pa.array(row * LISTED + np.arange(len(ids))), pa.array(ids)], names=["file", "ordinal", "doc_id"])
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(F.col("path").contains("/kind=docs/"))
-    named = files.select(F.regexp_extract("path", "/file=([^/]+)/", 1).alias("file"), "content").mapInArrow(unpack, "file string, ordinal bigint, doc_id bigint")
+    named = read_files(spark, path, "docs").mapInArrow(unpack, "file string, ordinal bigint, doc_id bigint")
     return named.withColumn("doc_id", F.when(F.col("doc_id") != F.lit(-(2**63)).cast("bigint"), F.col("doc_id")))
 
 
@@ -143,7 +155,8 @@ def token_counts(docs: DataFrame, vocabulary: str, end: int, *, id_col: str = "d
     """(doc_id, file, ordinal, start, n_tokens) of every row, from flat files written to the shared folder.
 
     Null and empty texts have one token, the end id; repeated rows count each; an empty table gives none.
-    Other columns of ``docs`` don't matter.
+    Other columns of ``docs`` don't matter.  Long texts are encoded in parts; a file, which ends with the text that
+    fills it, must stay under the 2 GiB that Spark reads of one file.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "token-files")

@@ -6,6 +6,8 @@ import numpy as np
 
 #: Fixed odd multipliers of two independent polynomials modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Powers that a worker keeps.
+KEPT = (1 << 20) + 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -20,14 +22,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse; tables for more than KEPT aren't kept."""
     held = _powers.get(which)
     if held is None or len(held[0]) < n:
-        size, out = max(n, 1 << 20), []
+        out = []
         for base in (BASES[which], pow(BASES[which], -1, 1 << 64)):
-            steps = np.full(size, np.uint64(base))
+            steps = np.full(max(n, KEPT), np.uint64(base))
             steps[0] = 1
             out.append(np.multiply.accumulate(steps))
-        held = _powers[which] = (out[0], out[1])
+        held = (out[0], out[1])
+        if n <= KEPT:
+            _powers[which] = held
     return held[0][:n], held[1][:n]
 
 

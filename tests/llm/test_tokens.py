@@ -30,12 +30,17 @@ def test_memory_starts_anew(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     monkeypatch.setattr(bpe, "AT_ONCE", 20)
     texts = [f"word{i} other{i}" for i in range(20)]
-    ids, counts = bpe.Encoder(BYTE).encode(texts)
-    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == library_ids(BYTE, texts)
+    texts.append(" \n\tword  after\n\nword's it's  " * 30 + "x" * 50)
+    for path in (BYTE, WORD):
+        ids, counts = bpe.Encoder(path).encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == library_ids(path, texts)
 
 
 @pytest.mark.parametrize("block, file_ids", [(64, 500), (1 << 18, 1 << 22), (2, 50)])
-def test_token_counts(docs, rows, block, file_ids):
+def test_token_counts(docs, rows, block, file_ids, monkeypatch):
+    if block == 64:
+        monkeypatch.setattr(token_files, "LISTED", 3)
+        monkeypatch.setattr(token_files, "AT_ONCE", 100)
     if block == 2:
         docs, rows = docs.where("doc_id < 40"), [r for r in rows if r[0] < 40]
     found = token_files.token_counts(docs, BYTE, 50256, block_bytes=block, file_ids=file_ids).collect()
