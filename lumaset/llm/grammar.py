@@ -1,13 +1,14 @@
 """Token-id shards compressed by Re-Pair, and reading them back.
 
-Per shard the most frequent neighbouring id pairs are replaced by new ids, again and again; a round replaces many
-pairs at once, chosen so that no two of their occurrences overlap (no id is the left part of one and the right
-part of another).  A shard stores the rules, the length each id expands to, the sequence, and the documents'
-places, so that a reader expands any document without the others.
-
-Shard layout, little-endian: 8 bytes ``LSGRAM01``; unsigned 64-bit: first nonterminal, rules, symbols, documents,
-checkpoint distance; rules (2 x u32); expansion lengths of the rules (u32); symbols (u32, or u16 where the flag
-after the counts says 2); document ids (i64); document lengths (u32).
+Per shard the frequent neighbouring id pairs are replaced by new ids, again and again until no pair occurs LEAST
+times.  A round replaces many pairs at once, chosen by falling count so that no two of their occurrences overlap (no
+id is the left part of one and the right part of another); of a run of one id, every other position is replaced.
+A shard stores the rules, the length each id expands to, the sequence, the documents' places and, every EVERY
+symbols, the place that the sequence has reached, so that a reader expands any document without the others.
+
+Shard layout, little-endian: 8 bytes ``LSGRAM02``; unsigned 64-bit: first nonterminal, rules, symbols, documents, bytes
+of a symbol (2 or 4), EVERY; rules (2 x u32); expansion lengths of the rules (u32); symbols; document ids (i64);
+documents' starts and the end of the last (u64); checkpoints (u64).
 """
 
 from __future__ import annotations
@@ -18,77 +19,101 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe, ordered
 from .shared import materialise, partitions
-from .token_files import chunks
 
-MAGIC = b"LSGRAM01"
+MAGIC = b"LSGRAM02"
 HEAD = struct.Struct("<8s6Q")
-#: Rounds of replacement, pairs replaced in a round at most, and occurrences that a pair needs.
-ROUNDS, PAIRS, LEAST = 4, 2048, 8
+#: Occurrences that a pair needs to be replaced, and symbols between checkpoints.
+LEAST, EVERY = 8, 1024
 #: Characters of text in a shard, but for one longer text.
 SHARD_CHARS = 1 << 22
 
 
-def frequent_pairs(seq: np.ndarray, pairs: int, fewest: int) -> np.ndarray:
-    """Keys (left * 2**32 + right) of frequent pairs by falling count; left and right ids are disjoint sets.
+def frequent_pairs(seq: np.ndarray, least: int) -> np.ndarray:
+    """Keys (left * 2**32 + right) of pairs that occur ``least`` times, by falling count; left and right ids are disjoint sets.
 
     Ids paired with themselves are left out: their occurrences overlap.
     """
-    bits, least = 20, fewest
+    bits = max(12, min(20, len(seq).bit_length()))
     slot = ((seq[:-1] * np.uint32(0x9E3779B1)) ^ (seq[1:] * np.uint32(0x85EBCA6B))) >> np.uint32(32 - bits)
-    counted = np.bincount(slot, minlength=1 << bits)
-    often = counted[counted >= least]
-    # more than enough of the heaviest slots
-    if len(often) > 4 * pairs:
-        least = max(least, int(np.partition(often, -4 * pairs)[-4 * pairs]))
-    heavy = counted >= least
+    # a pair that occurs often has a slot that is hit as often; other pairs are counted in vain only
+    heavy = np.bincount(slot, minlength=1 << bits) >= least
     at = np.flatnonzero(heavy[slot] & (seq[:-1] != seq[1:]))
-    keys, counts = np.unique((seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1], return_counts=True)
-    order = np.argsort(-counts, kind="stable")
-    order = order[counts[order] >= fewest]
+    codes, keys = pd.factorize((seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1])
+    counts = np.bincount(codes, minlength=len(keys))
+    often = np.flatnonzero(counts >= least)
+    keys = keys[often[np.lexsort((keys[often], -counts[often]))]]
     left, right, chosen = set(), set(), []
-    for key in keys[order].tolist():
+    for key in keys.tolist():
         a, b = key >> 32, key & 0xFFFFFFFF
         if a not in right and b not in left:
             left.add(a)
             right.add(b)
             chosen.append(key)
-            if len(chosen) == pairs:
-                break
     return np.array(chosen, np.uint64)
 
 
-def compress(seq: np.ndarray, first: int, *, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """Rules (n x 2; rule i defines id first + i) and the shortened sequence."""
-    rules, top = [], first
-    for _ in range(rounds):
-        if len(seq) < 2:
+def replace_pairs(seq: np.ndarray, top: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rules for ids from ``top`` on, shortened sequence)."""
+    keys = frequent_pairs(seq, least)
+    if not len(keys):
+        return np.zeros((0, 2), np.uint32), seq
+    rules = np.stack([keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+    is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
+    is_left[rules[:, 0]] = is_right[rules[:, 1]] = True
+    at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
+    order = np.argsort(keys)
+    ranked = keys[order]
+    key = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+    found = np.minimum(np.searchsorted(ranked, key), len(ranked) - 1)
+    hit = ranked[found] == key
+    return rules, merged(seq, at[hit], top + order[found[hit]])
+
+
+def replace_runs(seq: np.ndarray, top: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``replace_pairs`` for ids next to themselves: every other position of a run stands for two."""
+    starts = np.flatnonzero(np.concatenate([[True], seq[1:] != seq[:-1]]))
+    halves = np.diff(np.append(starts, len(seq))) // 2
+    starts, halves = starts[halves > 0], halves[halves > 0]
+    ids, which = np.unique(seq[starts], return_inverse=True)
+    often = np.bincount(which, halves, len(ids)) >= least if len(ids) else np.zeros(0, bool)
+    if not often.any():
+        return np.zeros((0, 2), np.uint32), seq
+    number = np.cumsum(often) - 1
+    mine = often[which]
+    starts, halves, which = starts[mine], halves[mine], which[mine]
+    within = np.arange(halves.sum()) - np.repeat(np.cumsum(halves) - halves, halves)
+    rules = np.stack([ids[often], ids[often]], 1).astype(np.uint32)
+    return rules, merged(seq, np.repeat(starts, halves) + 2 * within, np.repeat(top + number[which], halves))
+
+
+def merged(seq: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The sequence with ``ids`` in place of the pairs that start ``at``."""
+    seq = seq.copy()
+    seq[at] = ids.astype(np.uint32)
+    keep = np.ones(len(seq), bool)
+    keep[at + 1] = False
+    return seq[keep]
+
+
+def compress(seq: np.ndarray, first: int, *, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """Rules (n x 2; rule i defines id first + i) and the sequence, in which no pair occurs ``least`` times any more."""
+    rules, top = [np.zeros((0, 2), np.uint32)], first
+    while len(seq) > 1:
+        before = top
+        for replace in (replace_runs, replace_pairs):
+            made, seq = replace(seq, top, least)
+            rules.append(made)
+            top += len(made)
+        if top == before:
             break
-        keys = frequent_pairs(seq, pairs, least)
-        if not len(keys):
-            break
-        rules.append(np.stack([keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
-        is_left[rules[-1][:, 0]] = is_right[rules[-1][:, 1]] = True
-        at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
-        order = np.argsort(keys)
-        ranked = keys[order]
-        key = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        found = np.minimum(np.searchsorted(ranked, key), len(ranked) - 1)
-        hit = ranked[found] == key
-        at, found = at[hit], found[hit]
-        seq = seq.copy()
-        seq[at] = (top + order[found]).astype(np.uint32)
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        seq = seq[keep]
-        top += len(keys)
-    return (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)), seq
+    return np.concatenate(rules), seq
 
 
 def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
@@ -126,87 +151,103 @@ class Shard:
     lengths: np.ndarray
     symbols: np.ndarray
     doc_ids: np.ndarray
-    doc_lengths: np.ndarray
+    starts: np.ndarray
+    checkpoints: np.ndarray
+    every: int = EVERY
 
     def to_bytes(self) -> bytes:
         wide = 2 if len(self.rules) + self.first <= 1 << 16 else 4
-        head = HEAD.pack(MAGIC, self.first, len(self.rules), len(self.symbols), len(self.doc_ids), wide, 0)
-        parts = [self.rules.astype("<u4"), self.lengths.astype("<u4"), self.symbols.astype(f"<u{wide}"), self.doc_ids.astype("<i8"), self.doc_lengths.astype("<u4")]
+        head = HEAD.pack(MAGIC, self.first, len(self.rules), len(self.symbols), len(self.doc_ids), wide, self.every)
+        parts = [self.rules.astype("<u4"), self.lengths.astype("<u4"), self.symbols.astype(f"<u{wide}"), self.doc_ids.astype("<i8"), self.starts.astype("<u8"), self.checkpoints.astype("<u8")]
         return head + b"".join(p.tobytes() for p in parts)
 
     @classmethod
     def from_bytes(cls, raw: bytes) -> "Shard":
-        magic, first, n_rules, n_symbols, n_docs, wide, _ = HEAD.unpack_from(raw)
+        magic, first, n_rules, n_symbols, n_docs, wide, every = HEAD.unpack_from(raw)
         if magic != MAGIC:
             raise ValueError("not a grammar shard")
+        kinds = (("<u4", 2 * n_rules), ("<u4", n_rules), (f"<u{wide}", n_symbols), ("<i8", n_docs), ("<u8", n_docs + 1), ("<u8", -(-n_symbols // every)))
+        if HEAD.size + sum(np.dtype(kind).itemsize * n for kind, n in kinds) != len(raw):
+            raise ValueError("a grammar shard is cut short")
         at, out = HEAD.size, []
-        for kind, n in (("<u4", 2 * n_rules), ("<u4", n_rules), (f"<u{wide}", n_symbols), ("<i8", n_docs), ("<u4", n_docs)):
+        for kind, n in kinds:
             out.append(np.frombuffer(raw, kind, n, at))
             at += out[-1].nbytes
-        if at != len(raw):
-            raise ValueError("a grammar shard is cut short")
-        return cls(first, out[0].reshape(-1, 2), *out[1:])
+        return cls(first, out[0].reshape(-1, 2), *out[1:], every)
 
     def ids(self) -> np.ndarray:
         return expand(self.symbols, self.rules, self.first)
 
     def document(self, ordinal: int) -> np.ndarray:
-        """Ids of one document, expanding only the symbols that it touches."""
-        start = int(self.doc_lengths[:ordinal].sum())
-        stop = start + int(self.doc_lengths[ordinal])
-        each = np.ones(len(self.symbols), np.int64)
-        inner = self.symbols >= self.first
-        each[inner] = self.lengths[self.symbols[inner].astype(np.int64) - self.first]
-        ends = np.cumsum(each)
+        """Ids of one document, from the checkpoint before it and the symbols up to its end."""
+        start, stop = int(self.starts[ordinal]), int(self.starts[ordinal + 1])
+        first = int(np.searchsorted(self.checkpoints, start, "right")) - 1
+        last = int(np.searchsorted(self.checkpoints, stop, "left"))
+        near = self.symbols[first * self.every : last * self.every]
+        ends = int(self.checkpoints[first]) + np.cumsum(widths(near, self.lengths, self.first))
         lo, hi = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
-        skip = start - int(ends[lo - 1] if lo else 0)
-        return expand(self.symbols[lo:hi], self.rules, self.first)[skip : skip + stop - start]
+        skip = start - int(ends[lo - 1] if lo else self.checkpoints[first])
+        return expand(near[lo:hi], self.rules, self.first)[skip : skip + stop - start]
 
 
-def encode_shard(doc_ids: np.ndarray, ids: np.ndarray, lengths: np.ndarray, first: int, **options) -> Shard:
+def widths(symbols: np.ndarray, lengths: np.ndarray, first: int) -> np.ndarray:
+    """Ids that each symbol stands for."""
+    out = np.ones(len(symbols), np.int64)
+    inner = symbols >= first
+    out[inner] = lengths[symbols[inner].astype(np.int64) - first]
+    return out
+
+
+def encode_shard(doc_ids: np.ndarray, ids: np.ndarray, counts: np.ndarray, first: int, *, every: int = EVERY, **options) -> Shard:
+    """A shard of documents laid end to end, ``counts`` ids each."""
     rules, symbols = compress(ids.astype(np.uint32), first, **options)
-    return Shard(first, rules, expansion_lengths(rules, first), symbols, doc_ids, lengths)
+    lengths = expansion_lengths(rules, first)
+    ends = np.cumsum(widths(symbols, lengths, first))
+    checkpoints = np.concatenate([[0], ends])[:-1][::every] if len(symbols) else np.zeros(0, np.int64)
+    return Shard(first, rules, lengths, symbols, doc_ids, np.concatenate([[0], np.cumsum(counts)]), checkpoints, every)
 
 
-def write_shards(docs: DataFrame, vocabulary: str, first: int, end: int, *, id_col: str = "doc_id", text_col: str = "text", rows_each: int = 4096, shard_chars: int = SHARD_CHARS, rounds: int = ROUNDS) -> DataFrame:
+def write_shards(docs: DataFrame, vocabulary: str, first: int, end: int, *, id_col: str = "doc_id", text_col: str = "text", rows_each: int = 4096, shard_chars: int = SHARD_CHARS, least: int = LEAST) -> DataFrame:
     """Shards in ascending id order: (bucket, shard, n_docs, n_ids, n_symbols, body), written to the shared folder.
 
-    ``first`` is the first nonterminal, the vocabulary's size at least.  Null texts are empty, null ids come first.
+    ``first`` is the first nonterminal, the vocabulary's size at least.  Null texts are empty, null ids come first,
+    equal ids are in order of their texts.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("body"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"))
     starts = ordered.bounds(rows, "id", ordered.range_count(rows, rows_each, partitions(docs.sparkSession)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, number, held = bpe.encoder(vocabulary), {}, {}
-
-        def out(where: int) -> pa.RecordBatch:
-            keys, ids, lengths = (np.concatenate(x) for x in zip(*held.pop(where)[1], strict=True))
-            shard = encode_shard(keys, ids, lengths, first, rounds=rounds)
-            n = number[where] = number.get(where, -1) + 1
-            values = (where, n, len(keys), len(ids), len(shard.symbols))
-            return pa.RecordBatch.from_arrays([*(pa.array([v], pa.int64()) for v in values), pa.array([shard.to_bytes()], pa.binary())], names=["bucket", "shard", "n_docs", "n_ids", "n_symbols", "body"])
+        enc, place, number = bpe.encoder(vocabulary), None, 0
+        group, size = [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            nonlocal group, size, number
+            if group:
+                keys, ids, counts = (np.concatenate(x) for x in zip(*group, strict=True))
+                shard = encode_shard(keys, ids, counts, first, least=least)
+                values = (place, number, len(keys), len(ids), len(shard.symbols))
+                group, size, number = [], 0, number + 1
+                yield pa.RecordBatch.from_arrays([*(pa.array([v], pa.int64()) for v in values), pa.array([shard.to_bytes()], pa.binary())], names=["bucket", "shard", "n_docs", "n_ids", "n_symbols", "body"])
 
         for batch in batches:
-            place = np.array(batch.column(0))
-            cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(place)]
+            places = np.array(batch.column(0))
+            cuts = [0, *(np.flatnonzero(np.diff(places)) + 1).tolist(), len(places)] if len(places) else []
             for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                where, texts = int(place[a]), [t or "" for t in batch.column(2).slice(a, b - a).to_pylist()]
+                if places[a] != place:
+                    yield from out()
+                    place, number = int(places[a]), 0
                 keys = np.array(batch.column(1).slice(a, b - a).fill_null(-(2**63)))
-                for other in [w for w in held if w != where]:
-                    yield out(other)
-                for lo, hi in chunks(texts, shard_chars):
-                    group = held.setdefault(where, [0, []])
-                    group[1].append((keys[lo:hi], *bpe.with_end(*enc.encode(texts[lo:hi]), end)))
-                    group[0] += sum(map(len, texts[lo:hi]))
-                    if group[0] >= shard_chars:
-                        yield out(where)
-        for where in list(held):
-            yield out(where)
-
-    placed = rows.select(ordered.bucket(F.col("id"), starts).cast("bigint").alias("bucket"), "id", "body")
-    dealt = placed.repartitionByRange(len(starts) + 1, "bucket").sortWithinPartitions("bucket", "id", F.length("body"))
+                for lo, hi, texts in bpe.slices(batch.column(2).slice(a, b - a), shard_chars // 4):
+                    group.append((keys[lo:hi], *bpe.with_end(*enc.encode(texts), end)))
+                    size += sum(map(len, texts))
+                    if size >= shard_chars:
+                        yield from out()
+        yield from out()
+
+    placed = rows.select(ordered.bucket(F.col("id"), starts).cast("int").alias("bucket"), "id", "body")
+    # the range's number is the task's: nothing has to be sampled
+    dealt = placed.repartitionById(len(starts) + 1, "bucket").sortWithinPartitions("bucket", "id", "body")
+    dealt = dealt.select(F.col("bucket").cast("bigint"), "id", "body")
     return materialise(dealt.mapInArrow(encode, "bucket bigint, shard bigint, n_docs bigint, n_ids bigint, n_symbols bigint, body binary"), "grammar-shards")
 
 
@@ -228,10 +269,10 @@ def read_shards(shards: DataFrame) -> DataFrame:
             for where, n, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 shard = Shard.from_bytes(body)
                 raw = memoryview(shard.ids().astype("<u4").tobytes())
-                ends = np.cumsum(shard.doc_lengths.astype(np.int64))
-                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-                m = len(ends)
-                columns = [np.full(m, where), np.full(m, n), shard.doc_ids, ends - shard.doc_lengths, shard.doc_lengths.astype(np.int64), np.array(crc, np.int64)]
+                edges = shard.starts.astype(np.int64)
+                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                m = len(crc)
+                columns = [np.full(m, where), np.full(m, n), shard.doc_ids, edges[:-1], np.diff(edges), np.array(crc, np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["bucket", "shard", "doc_id", "within", "n_tokens", "ids_crc32"])
 
     docs = shards.select("bucket", "shard", "body").mapInArrow(decode, "bucket bigint, shard bigint, doc_id bigint, within bigint, n_tokens bigint, ids_crc32 bigint")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Ranges at most: their first keys are held by the driver and in the plan.
-LIMIT = 8192
+#: Ranges at most: their first keys are held by the driver and in the plan (8 bytes each); tables that would need more get larger ranges.
+LIMIT = 1 << 17
 
 
 def bounds(df: DataFrame, key: str, buckets: int) -> list[int]:

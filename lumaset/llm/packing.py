@@ -2,8 +2,9 @@
 
 Partitions pack their pieces by best-fit decreasing.  Dual feasible functions bound the number of bins from below;
 a partition whose count meets its bound keeps its well-filled bins, one with a gap gives up every bin that is not
-full.  What partitions give up is exchanged: dealt into fewer partitions and packed again, until one partition
-holds the rest.  Only piece lengths move; texts and ids don't.
+full.  What partitions give up is exchanged: dealt into partitions of the same size and packed again, for as long as
+that saves bins.  No round runs in one task unless the rest is one partition's.  Only piece lengths move; texts and
+ids don't.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from .shared import materialise
-from .token_files import chunks
 
 #: Pieces that a partition packs at most (hashing spreads them unevenly by a little).
 ROWS_EACH = 50_000
+#: A round must save one of so many of the bins that were given up to it, else it is the last.
+WORTH = 500
 #: A certified partition gives up bins with more room than this share, while others can still use it.
 ROOM = 1 / 16
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -90,9 +92,9 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, *, end: int =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = bpe.encoder(vocabulary)
         for batch in batches:
-            keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            for lo, hi in chunks(texts, 1 << 22):
-                ids, counts = bpe.with_end(*enc.encode(texts[lo:hi]), end)
+            keys = batch.column(0)
+            for lo, hi, texts in bpe.slices(batch.column(1), 1 << 20):
+                ids, counts = bpe.with_end(*enc.encode(texts), end)
                 raw = memoryview(ids.astype("<u4").tobytes())
                 pieces = -(-counts // capacity)
                 doc = np.repeat(np.arange(hi - lo), pieces)
@@ -125,28 +127,28 @@ def solver(capacity: int, room: int, level: int, last: bool):
 
 
 def pack(pieces: DataFrame, capacity: int, *, rows_each: int = ROWS_EACH) -> DataFrame:
-    """The rows of ``pieces`` (of 1 to ``capacity`` ids) with sequence_id and offset.
+    """The rows of ``pieces`` (a written table; of 1 to ``capacity`` ids) with sequence_id and offset.
 
-    A sequence's id tells the round, the partition and the bin that it comes from.  Rounds end when one partition
-    has packed what was left; each has at most a quarter of the partitions of the one before.
+    A sequence's id tells the round, the partition and the bin that it comes from.  Every round deals the pool into
+    partitions of about ``rows_each`` rows.  The last is the one that packs a single partition, or that saves less
+    than one in WORTH of the bins which were given up to it; bins get fewer each round, so there is a last one.
     """
-    spark = pieces.sparkSession
-    n = pieces.count()
-    parts, done, level = max(1, -(-n // rows_each)), [], 0
-    pool = pieces
+    done, level, given_up = [], 0, None
+    pool, parts = pieces, max(1, -(-pieces.count() // rows_each))
     while True:
         last = parts == 1
         room = 0 if last else int(capacity * ROOM)
-
         schema = f"{PIECES}, sequence_id bigint, offset bigint, open boolean"
-        dealt = pool.withColumn("part", F.pmod(F.xxhash64(F.lit(level), "doc_id", "piece", "start"), F.lit(parts)).cast("bigint"))
+        # rows of a written table have numbers that stay; ids repeat and would meet in one partition
+        dealt = pool.withColumn("part", F.pmod(F.xxhash64(F.lit(level), F.monotonically_increasing_id()), F.lit(parts)).cast("bigint"))
         packed = materialise(dealt.groupBy("part").applyInPandas(solver(capacity, room, level, last), schema), f"packed-{level}")
-        done.append(packed.where("not open").drop("open"))
-        if last:
+        used, open_bins, open_rows = packed.agg(F.countDistinct("sequence_id"), F.countDistinct(F.when(F.col("open"), F.col("sequence_id"))), F.count_if("open")).first()
+        if last or not open_rows or (given_up is not None and given_up - used < max(1, given_up // WORTH)):
+            done.append(packed.drop("open"))
             break
-        pool = packed.where("open").select(*pieces.columns)
-        parts = min(max(1, -(-pool.count() // rows_each)), max(1, parts // 4))
-        level += 1
+        done.append(packed.where("not open").drop("open"))
+        pool, given_up, level = packed.where("open").select(*pieces.columns), open_bins, level + 1
+        parts = -(-open_rows // rows_each)
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

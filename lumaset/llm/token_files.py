@@ -78,18 +78,6 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end: int, *,
     rows.select("file", "kind", "body").write.partitionBy("file", "kind").option("encoding", "ISO-8859-1").option("lineSep", separator).text(path)
 
 
-def chunks(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``most`` characters."""
-    lo = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= most:
-            yield lo, i + 1
-            lo, size = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
-
-
 def read_files(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """(file, content), content being read by the task that uses it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(F.col("path").contains(f"/kind={kind}/"))

@@ -1,5 +1,7 @@
+import itertools
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -83,25 +85,57 @@ def test_shards_edges(no_docs, twice, rows):
     assert min(found, key=lambda r: r.start).doc_id is None
 
 
+def occurrences(seq):
+    """Times that each pair occurs without overlap."""
+    pairs = Counter((a, b) for a, b in zip(seq, seq[1:]) if a != b)
+    for value, run in itertools.groupby(seq):
+        pairs[value, value] += len(list(run)) // 2
+    return pairs
+
+
 @settings(deadline=None)
-@given(hnp.arrays(np.uint32, st.integers(0, 300), elements=st.integers(0, 4)), st.integers(1, 6), st.integers(1, 4))
-def test_grammar_round_trip(seq, rounds, pairs):
-    rules, short = grammar.compress(seq, 5, rounds=rounds, pairs=pairs, least=2)
+@given(hnp.arrays(np.uint32, st.integers(0, 300), elements=st.integers(0, 4)), st.integers(2, 5))
+def test_grammar_round_trip(seq, least):
+    rules, short = grammar.compress(seq, 5, least=least)
     assert (grammar.expand(short, rules, 5) == seq).all()
     lengths = grammar.expansion_lengths(rules, 5)
     assert all(lengths[i] == len(grammar.expand(np.array([5 + i], np.uint32), rules, 5)) for i in range(len(rules)))
+    assert max(occurrences(short.tolist()).values(), default=0) < least
+
+
+def test_grammar_of_runs_and_copies():
+    for seq in (np.full(100_000, 7, np.uint32), np.tile(np.random.default_rng(1).integers(0, 50, 700).astype(np.uint32), 64)):
+        rules, short = grammar.compress(seq, 50)
+        assert (grammar.expand(short, rules, 50) == seq).all()
+        assert len(short) + len(rules) < len(seq) / 40
 
 
 def test_shard_reads_single_documents():
     rnd = np.random.default_rng(3)
     lengths = rnd.integers(1, 40, 50)
     ids = rnd.integers(0, 6, lengths.sum()).astype(np.uint32)
-    shard = grammar.Shard.from_bytes(grammar.encode_shard(np.arange(50), ids, lengths, 6, least=3).to_bytes())
+    raw = grammar.encode_shard(np.arange(50), ids, lengths, 6, least=3, every=16).to_bytes()
+    shard = grammar.Shard.from_bytes(raw)
     assert len(shard.symbols) < len(ids)
     for k, part in enumerate(np.split(ids, np.cumsum(lengths)[:-1])):
         assert (shard.document(k) == part).all()
-    with pytest.raises(ValueError):
-        grammar.Shard.from_bytes(shard.to_bytes()[:-1] if False else b"x" * 80)
+    for broken in (raw[:-1], raw + b"x", b"x" * 80):
+        with pytest.raises(ValueError):
+            grammar.Shard.from_bytes(broken)
+
+
+def test_repeated_ids_keep_their_places(spark):
+    """Rows with one id, texts of equal length too, come in order of their texts whatever the partitions."""
+    rows = [(5, t) for t in ("ab", "ba", "aa", "bb", None, "ab")] + [(4, "z")]
+    want, start = [], 0
+    for i, t in sorted(rows, key=lambda r: (r[0], r[1] or "")):
+        raw = np.array([*library_ids(BYTE, [t])[0], 0], "<u4")
+        want.append((i, start, len(raw), zlib.crc32(raw.tobytes())))
+        start += len(raw)
+    for n in (1, 4):
+        df = spark.createDataFrame(rows[::-1] if n == 4 else rows, "doc_id bigint, text string").repartition(n)
+        found = grammar.token_shards(df, BYTE, 50257)
+        assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in found.collect()) == want
 
 
 def check_packing(found, rows, capacity):
