@@ -154,7 +154,8 @@ def next_rows(docs: DataFrame, id_col: str, text_col: str, rows_each: int = 2048
     halo = F.broadcast(spark.createDataFrame(wanted, "top bigint, bucket int"))
     extra = rows.join(halo, F.coalesce("id", lowest) == F.col("top")).select("bucket", F.lit(True).alias("extra"), "id", "body")
     placed = rows.select(where.alias("bucket"), F.lit(False).alias("extra"), "id", "body").unionByName(extra)
-    dealt = placed.repartitionByRange(max(1, len(tops)), "bucket")
+    # the range's number is the task's: nothing has to be sampled
+    dealt = placed.withColumn("bucket", F.col("bucket").cast("int")).repartitionById(len(starts) + 1, "bucket")
     return dealt.sortWithinPartitions("bucket", "extra", F.col("id").desc_nulls_last(), "body")
 
 

@@ -2,7 +2,7 @@
 
 Each source gets a mean repetition rate so that its share of the mixture meets its target weight; a uniform
 number hashed from seed and id is inverted through the Poisson distribution of that rate; each document is
-exploded by its count, and the copies are range-partitioned by a hashed key, a shuffle over the whole mixture.
+exploded by its count, and the copies go to ranges of a hashed key, a shuffle over the whole mixture.
 DataFrame operations only.
 """
 
@@ -83,5 +83,8 @@ def mix(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent: f
     counted = rows.join(rates, "src").withColumn("n_copies", _drawn(F.lit(seed), ident)).where("n_copies > 0")
     copies = counted.select("row", "id", "n_copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_copies") - 1)).alias("copy"))
     copies = copies.withColumn("shuffle_key", _hashed(15, F.lit(seed), F.lit("order"), ident, F.col("copy")))
-    dealt = copies.repartitionByRange(partitions(docs.sparkSession), "shuffle_key", "copy").sortWithinPartitions("shuffle_key", "copy")
+    # keys are uniform below 2**60, so their ranges are known without a sample
+    tasks = partitions(docs.sparkSession)
+    place = F.floor(F.col("shuffle_key") / F.lit(float(1 << 60)) * F.lit(float(tasks))).cast("int")
+    dealt = copies.withColumn("place", F.least(place, F.lit(tasks - 1))).repartitionById(tasks, "place").sortWithinPartitions("shuffle_key", "copy")
     return dealt.select("row.*", "copy", "n_copies", "shuffle_key")
