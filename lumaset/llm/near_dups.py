@@ -1,11 +1,13 @@
 """Near-duplicate documents by an inverted join on MinHash signature coordinates, confirmed on full shingle sets.
 
 1. A document's set holds its distinct word shingles as 64-bit numbers; equal sets collapse to one representative.
-2. A signature has COORDINATES coordinates, each of four MinHash values.  Representatives are posted under each
-   pair of coordinate and value; values that one representative alone has are dropped.
-3. Within a posting list, collisions of single MinHash values are counted.  A walk over the list links what
-   matches in at least MATCHES values; what is linked already is skipped, so a list of n gives at most n - 1
-   links.  Lists of over LIST members are compared block by block.
+2. A signature has COORDINATES coordinates, one MinHash value each.  Representatives are posted under each pair of
+   coordinate and value.  Two that agree in MATCHES coordinates share a pair among the COORDINATES - MATCHES + 1
+   rarest of either, so each is left in those lists alone.  Values that it alone has come first among the rarest and
+   need no list; what shares fewer than MATCHES values with anyone is skipped as a whole.
+3. The lists that are left are merged: for the members that meet in one, collisions over all coordinates are counted on
+   their signatures.  What matches in MATCHES of them is linked; what is linked already is skipped, so a list of n
+   gives at most n - 1 links.  Lists of over LIST members are compared block by block.
 4. Links join into families, in which every pair over the threshold lies (but for one in ten million).  Within a
    family sets are compared exactly, again skipping what is linked; the links that hold give the components.
 """
@@ -24,18 +26,18 @@ from .components import components
 from .shared import keyed, materialise, partitions, release
 from .windows import Rolling, mix
 
-#: A pair of similarity 0.8 shares none of 40 coordinates of four values in 7e-10 of cases, and matches in fewer
-#: than 96 of the 160 values in 5e-8.
-COORDINATES, WIDTH, MATCHES = 40, 4, 96
+#: A pair of similarity 0.8 agrees in fewer than 32 of 64 coordinates in 1e-8 of cases.
+COORDINATES, MATCHES = 64, 32
 #: Members of a posting list, or of a family, that one task compares at most.
 LIST, FAMILY = 4096, 4096
 #: Documents in families up to which their ids (8 bytes each) are broadcast to the texts; beyond, both are shuffled.
 BROADCAST_ROWS = 500_000
-AT_ONCE = 1 << 22
+#: Bytes of text whose sets are made at once, unless a single text is longer.
+AT_ONCE = 1 << 20
 OUT = ("n_shingles", "component_id", "kept")
 _rng = np.random.default_rng(20240917)
-_A = (_rng.integers(0, 1 << 32, COORDINATES * WIDTH, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
-_B = _rng.integers(0, 1 << 32, COORDINATES * WIDTH, dtype=np.uint64).astype(np.uint32)
+_A = (_rng.integers(0, 1 << 32, COORDINATES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+_B = _rng.integers(0, 1 << 32, COORDINATES, dtype=np.uint64).astype(np.uint32)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _WORD = np.ones(256, bool)
@@ -78,20 +80,16 @@ def shingle_sets(raw: list[np.ndarray], size: int = 2) -> tuple[np.ndarray, np.n
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.array([len(o) for o in out], np.int64)
 
 
-def signatures(shingles: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(posting keys, one byte of each MinHash value) of non-empty sets laid end to end."""
+def signatures(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """MinHash values, a row for each of the non-empty sets laid end to end."""
     offsets = np.cumsum(counts) - counts
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    values = np.empty((len(counts), COORDINATES * WIDTH), np.uint32)
+    values = np.empty((len(counts), COORDINATES), np.uint32)
     for i, (a, b) in enumerate(zip(_A, _B, strict=True)):
-        values[:, i] = np.minimum.reduceat(x * a + b, offsets)
-    keys = np.empty((len(counts), COORDINATES), np.uint64)
-    for c in range(COORDINATES):
-        key = np.full(len(counts), np.uint64(c + 1))
-        for w in range(WIDTH):
-            key = mix(key + values[:, c * WIDTH + w].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-        keys[:, c] = key
-    return keys.view(np.int64), (values & np.uint32(255)).astype(np.uint8)
+        # the product's high bits depend on all of x, so they are mixed in before the least is taken
+        y = x * a + b
+        values[:, i] = np.minimum.reduceat(y ^ (y >> np.uint32(15)), offsets)
+    return values
 
 
 def grouped(column: pa.Array) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -108,25 +106,26 @@ def grouped(column: pa.Array) -> Iterator[tuple[int, int, list[np.ndarray]]]:
 
 
 def sign(texts: DataFrame, size: int) -> DataFrame:
-    """(doc, same, n, keys, bytes): set digest, set size, posting keys and signature bytes of each text."""
+    """(doc, same, n, signature, bytes): set digest, set size, MinHash values and a byte of each, of each text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, raw in grouped(batch.column(1)):
                 shingles, counts = shingle_sets(raw, size)
                 full = np.flatnonzero(counts)
-                keys, values = signatures(shingles, counts[full]) if len(full) else (np.zeros((0, COORDINATES), np.int64),) * 2
-                ends = np.cumsum(counts)
+                values = signatures(shingles, counts[full]) if len(full) else np.zeros((0, COORDINATES), np.uint32)
+                low, ends = (values & np.uint32(255)).astype(np.uint8), np.cumsum(counts)
                 rows = np.full(hi - lo, -1)
                 rows[full] = np.arange(len(full))
                 same = [hashlib.blake2b(shingles[e - n : e].tobytes(), digest_size=16).digest() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+                sizes = pa.array(np.concatenate([[0], np.cumsum((counts > 0) * COORDINATES)]), pa.int32())
                 columns = [
                     batch.column(0).slice(lo, hi - lo), pa.array(same, pa.binary()), pa.array(counts),
-                    pa.array([keys[r] if r >= 0 else [] for r in rows.tolist()], pa.list_(pa.int64())), pa.array([values[r].tobytes() if r >= 0 else b"" for r in rows.tolist()], pa.binary()),
+                    pa.ListArray.from_arrays(sizes, pa.array(values.view(np.int32).ravel())), pa.array([low[r].tobytes() if r >= 0 else b"" for r in rows.tolist()], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc", "same", "n", "keys", "bytes"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "same", "n", "signature", "bytes"])
 
-    return texts.mapInArrow(work, "doc bigint, same binary, n bigint, keys array<bigint>, bytes binary")
+    return texts.mapInArrow(work, "doc bigint, same binary, n bigint, signature array<int>, bytes binary")
 
 
 def walk_list(values: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -245,10 +244,22 @@ def full_sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("doc", "family", "body").mapInArrow(work, "doc bigint, family bigint, set binary")
 
 
-def families(signed: DataFrame) -> DataFrame:
-    """(u, v): representatives that share a posting list and match in enough values, with their family's least."""
-    posted = signed.select("doc", F.explode("keys").alias("key"))
+def rarest_lists(signed: DataFrame) -> DataFrame:
+    """(key, doc): the posting lists, each document in those of the rarest values among which any match must show."""
+    key = F.shiftleft(F.col("coordinate").cast("bigint"), 32).bitwiseOR(F.col("value").cast("bigint").bitwiseAND(F.lit((1 << 32) - 1)))
+    posted = signed.select("doc", F.posexplode("signature").alias("coordinate", "value")).select("doc", key.alias("key"))
     lists = materialise(posted.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "near-counts")
+    # at most COORDINATES entries a document
+    shared = posted.join(lists, "key").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("members", "key"))).alias("held")).where(F.size("held") >= MATCHES)
+    # values that nobody else has come before all of these
+    first = F.slice("held", F.lit(1), F.size("held") - (MATCHES - 1))
+    return shared.select("doc", F.explode(first).alias("h")).select("h.key", "doc")
+
+
+def families(signed: DataFrame) -> DataFrame:
+    """(u, v): representatives that match in MATCHES values, directly or through others, with their family's least."""
+    posted = materialise(rarest_lists(signed), "near-posted")
+    lists = materialise(posted.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "near-sizes")
     members = materialise(posted.join(lists, "key"), "near-lists").join(signed.select("doc", "bytes"), "doc")
     return components(per_group(in_blocks(members, "key", "members", LIST), "key", "bytes", match_values), "near-families")
 
@@ -270,7 +281,7 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     signed = materialise(sign(rows.select("doc", "body"), size), "near-signed")
     # aggregates are written before they are joined: then Spark can split what one set, list or family has too much of
     same = materialise(signed.where("n > 0").groupBy("same").agg(F.min("doc").alias("rep")), "near-same")
-    reps = signed.join(same.select(F.col("rep").alias("doc")), "doc", "left_semi").select("doc", "keys", "bytes")
+    reps = signed.join(same.select(F.col("rep").alias("doc")), "doc", "left_semi").select("doc", "signature", "bytes")
     close = families(reps)
     release(spark)
     # the least of each family belongs to it too
