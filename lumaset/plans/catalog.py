@@ -285,7 +285,7 @@ def q_split_class_filter(spark, sf_dir):
 
 
 def _parsed(spark, sf_dir):
-    return views.label_text(spark, sf_dir).where(labels.is_solid(F.col("line"))).withColumn("label", labels.parse_line(F.col("line")))
+    return labels.with_parsed(views.label_text(spark, sf_dir).where(labels.is_solid(F.col("line"))))
 
 
 @query(f"WITH {TEXT_SQL} SELECT l_orderkey, l_linenumber, CAST(n[1] AS BIGINT) AS class_id, n[2] AS cx, n[3] AS cy, n[4] AS w, n[5] AS h, n[9] AS x2, n[11] AS v2 FROM parsed WHERE error IS NULL")
@@ -318,9 +318,8 @@ _MOVED = " || ' ' || ".join(["CAST(CAST(n[1] AS BIGINT) AS VARCHAR)", _X.format(
 @query(f"WITH {TEXT_SQL}, sized AS (SELECT *, CAST(width AS DOUBLE) AS W, CAST(height AS DOUBLE) AS H FROM parsed) SELECT l_orderkey, l_linenumber, {_MOVED} AS moved FROM sized WHERE error IS NULL")
 def q_label_transform(spark, sf_dir):
     """L3, L4, L5."""
-    moved = labels.transform_label(F.col("label"), F.col("width"), F.col("height"), NetSpec())
-    rows = _parsed(spark, sf_dir).withColumn("moved", moved).where("moved.error is null")
-    return rows.select("l_orderkey", "l_linenumber", labels.format_label(F.col("moved")).alias("moved"))
+    rows = labels.with_moved(_parsed(spark, sf_dir), "width", "height", NetSpec()).where("moved.error is null")
+    return rows.select("l_orderkey", "l_linenumber", labels.spell_label(F.col("moved")).alias("moved"))
 
 
 @query(f"""WITH {TEXT_SQL}, sized AS (SELECT *, CAST(width AS DOUBLE) AS W, CAST(height AS DOUBLE) AS H FROM parsed),
