@@ -16,6 +16,7 @@ def moved(spark, rows):
 
 
 def test_golden_line(spark):
+    # The published golden line and what it becomes
     [(text, error)] = moved(spark, [("3 0.5 0.5 0.2 0.4 0.25 0.75 2 0 0 0", 640, 480)])
     assert error is None
     assert text == "3 0.50000000 0.50000000 0.15625000 0.31250000 0.30468750 0.69531250 2 0.00000000 0.00000000 0\n"
