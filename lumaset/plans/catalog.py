@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,29 +9,12 @@ from ..functions import hashing, labels
 from ..functions.profiles import NetSpec
 from ..operators import checks, counts, pairing, planes, selection
 from . import views
+from .registry import ORACLE, QUERIES, big, query  # noqa: F401
 from .views import ITEMS_SQL, PLANES_SQL, TEXT_SQL, read
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 SEED, PROFILE_HASH = "lumaset-1", "0" * 64
 
 
-def query(sql: str):
-    """Register a function under its name, with its SQL."""
-
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        ORACLE[f.__name__] = sql
-        return f
-
-    return register
-
-
-def big(*names: str) -> list:
-    return [F.col(n).cast("bigint").alias(n) for n in names]
-
-
 _FILL = f"""{ITEMS_SQL},
 earth AS (SELECT *, sha256('{SEED}|' || source_image) AS k FROM v_items WHERE split = 'train' AND NOT (class_ids = [20])),
 ranked AS (
@@ -80,7 +61,8 @@ def q_items_per_class(spark, sf_dir):
     return counts.items_per_class(views.items(spark, sf_dir)).select("split", *big("class_id"), "n")
 
 
-_PAIR = f"WITH {ITEMS_SQL}, im AS (SELECT split, stem, source_image FROM v_items WHERE doc_id % 13 <> 0), la AS (SELECT split, stem, source_label FROM v_items WHERE doc_id % 7 <> 0) "
+_PAIR = f"""WITH {ITEMS_SQL}, im AS (SELECT split, stem, source_image FROM v_items UNION ALL SELECT 'val', 'page_' || page_id, 'images/val/page_' || page_id || '.png' FROM pages),
+la AS (SELECT split, stem, source_label FROM v_items UNION ALL SELECT 'test', 'item_' || item_id, 'labels/test/item_' || item_id || '.txt' FROM benchmark) """
 
 
 @query(_PAIR + "SELECT split, stem, source_image FROM im ANTI JOIN la USING (split, stem)")
@@ -188,25 +170,26 @@ def q_dup_outputs(spark, sf_dir):
     return checks.duplicates(items, "a", "b")
 
 
-@query(f"""WITH {ITEMS_SQL}, seen AS (SELECT DISTINCT split, class_id FROM v_items WHERE doc_id % 41 = 0), want AS (SELECT class_id, s AS split FROM names, (VALUES ('train'), ('val'), ('test')) v(s))
+@query(f"""WITH {ITEMS_SQL}, seen AS (SELECT DISTINCT split, class_id FROM v_items), want AS (SELECT class_id, s AS split FROM (SELECT class_id FROM names UNION ALL SELECT 21), (VALUES ('train'), ('val'), ('test')) v(s))
 SELECT split, class_id FROM want ANTI JOIN seen USING (split, class_id)""")
 def q_class_coverage(spark, sf_dir):
-    """A7."""
-    seen = views.items(spark, sf_dir).where("doc_id % 41 = 0")
-    return counts.missing_classes(seen, views.names(spark, sf_dir)).select("split", *big("class_id"))
+    """All items against all names and one that nothing has."""
+    spare = spark.createDataFrame([(21, "spare")], "class_id int, class_name string")
+    return counts.missing_classes(views.items(spark, sf_dir), views.names(spark, sf_dir).unionByName(spare)).select("split", *big("class_id"))
 
 
 def _sums(spark, sf_dir):
-    """A checksum list that misses some items, states others wrongly and has further files."""
+    """A checksum list that has some items under other paths, states others wrongly and has further files."""
     items = views.items(spark, sf_dir)
-    stated = items.where("doc_id % 19 != 0").select(F.col("source_image").alias("path"), F.when(F.col("doc_id") % 23 == 0, F.sha2(F.col("text_sha256"), 256)).otherwise(F.col("text_sha256")).alias("sha256"))
-    more = items.where("doc_id % 29 = 0").select(F.concat(F.lit("meta/"), F.col("stem")).alias("path"), F.col("text_sha256").alias("sha256"))
+    path = F.when(F.col("doc_id") % 19 == 0, F.concat(F.lit("lost/"), "source_image")).otherwise(F.col("source_image"))
+    stated = items.select(path.alias("path"), F.when(F.col("doc_id") % 23 == 0, F.sha2(F.col("text_sha256"), 256)).otherwise(F.col("text_sha256")).alias("sha256"))
+    more = read(spark, sf_dir, "pages").select(F.concat(F.lit("meta/"), "page_id").alias("path"), F.sha2("url", 256).alias("sha256"))
     return items.select(F.col("source_image").alias("path"), F.col("text_sha256").alias("sha256")), stated.unionByName(more)
 
 
 _SUMS = f"""WITH {ITEMS_SQL}, listed AS (SELECT source_image AS path, text_sha256 AS sha FROM v_items),
-sums AS (SELECT source_image AS path, CASE WHEN doc_id % 23 = 0 THEN sha256(text_sha256) ELSE text_sha256 END AS sha FROM v_items WHERE doc_id % 19 <> 0
-  UNION ALL SELECT 'meta/' || stem, text_sha256 FROM v_items WHERE doc_id % 29 = 0)"""
+sums AS (SELECT CASE WHEN doc_id % 19 = 0 THEN 'lost/' || source_image ELSE source_image END AS path, CASE WHEN doc_id % 23 = 0 THEN sha256(text_sha256) ELSE text_sha256 END AS sha FROM v_items
+  UNION ALL SELECT 'meta/' || page_id, sha256(url) FROM pages)"""
 
 
 @query(_SUMS + " SELECT path, l.sha AS sha256, s.sha AS stated FROM listed l LEFT JOIN sums s USING (path) WHERE l.sha IS DISTINCT FROM s.sha")
@@ -239,7 +222,7 @@ def q_candidate_key(spark, sf_dir):
     return items.select("doc_id", hashing.smoke_key(7, "split").alias("smoke_key"), hashing.selection_key(SEED).alias("selection_key"), hashing.sample_key().alias("sample_key"))
 
 
-@query(_EVIDENCE + """, state AS (SELECT source_image, CASE WHEN doc_id % 5 = 1 THEN sha256(signature) ELSE signature END AS signature, sha, sha256(sha) AS o FROM sig WHERE doc_id % 4 <> 0),
+@query(_EVIDENCE + """, state AS (SELECT CASE WHEN doc_id % 4 = 0 THEN 'lost/' || source_image ELSE source_image END AS source_image, CASE WHEN doc_id % 5 = 1 THEN sha256(signature) ELSE signature END AS signature, sha, sha256(sha) AS o FROM sig),
 now_ AS (SELECT source_image, sha, CASE WHEN doc_id % 9 = 2 THEN sha ELSE sha256(sha) END AS o FROM ev)
 SELECT doc_id, source_image FROM sig ANTI JOIN (SELECT s.source_image, s.signature FROM state s JOIN now_ n ON n.source_image = s.source_image AND n.o = s.o) f ON f.source_image = sig.source_image AND f.signature = sig.signature""")
 def q_resume_worklist(spark, sf_dir):
@@ -247,7 +230,8 @@ def q_resume_worklist(spark, sf_dir):
     items = views.evidence(spark, sf_dir)
     own, out = F.col("source_label_sha256"), F.sha2("source_label_sha256", 256)
     signed = items.withColumn("signature", hashing.item_signature(PROFILE_HASH))
-    state = signed.where("doc_id % 4 != 0").select("source_image", F.when(F.col("doc_id") % 5 == 1, F.sha2("signature", 256)).otherwise(F.col("signature")).alias("signature"),
+    known = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("lost/"), "source_image")).otherwise(F.col("source_image"))
+    state = signed.select(known.alias("source_image"), F.when(F.col("doc_id") % 5 == 1, F.sha2("signature", 256)).otherwise(F.col("signature")).alias("signature"),
                                                    own.alias("source_image_sha256"), out.alias("output_image_sha256"), out.alias("output_label_sha256"))
     now = items.select("source_image", "source_image_size", "source_image_mtime_ns", "source_label_sha256", own.alias("source_image_sha256"),
                        F.when(F.col("doc_id") % 9 == 2, own).otherwise(out).alias("output_image_sha256"), out.alias("output_label_sha256"))
@@ -529,3 +513,6 @@ def q_component_order(spark, sf_dir):
     """A sort by path components, not by characters; the separator sorts before all of them."""
     path = F.replace("url", F.lit("://"), F.lit("/"))
     return read(spark, sf_dir, "pages").orderBy(F.split(path, "/"), "page_id").select("page_id", F.replace(path, F.lit("/"), F.lit("\x01")).alias("place"))
+
+
+from . import kernels, trees  # noqa: E402, F401 - they register queries of their own

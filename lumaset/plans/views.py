@@ -14,21 +14,25 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(class_id, class_name): the documents' sources in order, then ``moon``."""
-    sources = read(spark, sf_dir, "documents").select(F.col("source").alias("class_name")).distinct()
+def classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, class_id): every source in order, dealt to the classes below MOON; no source is the empty one."""
+    sources = read(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("")).alias("source")).distinct()
     # numbered on the few distinct names
-    numbered = sources.select((F.row_number().over(Window.orderBy("class_name")) - 1).alias("class_id"), "class_name").where(F.col("class_id") < MOON)
+    return sources.select("source", ((F.row_number().over(Window.orderBy("source")) - 1) % MOON).alias("class_id"))
+
+
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(class_id, class_name): a class is named by its first source, then comes ``moon``."""
+    named = classes(spark, sf_dir).groupBy("class_id").agg(F.min("source").alias("class_name"))
     moon = spark.createDataFrame([(MOON, "moon")], "class_id int, class_name string")
-    return numbered.unionByName(moon)
+    return named.unionByName(moon)
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An index of documents as items: blocks of 160 are split, sources are classes, unlabelled ones are empty."""
     labels = read(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("labelled"))
-    classes = names(spark, sf_dir).where(F.col("class_id") < MOON).withColumnRenamed("class_name", "source")
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", F.sha2("text", 256).alias("text_sha256"), "n_chars")
-    rows = docs.join(labels, "doc_id", "left").join(F.broadcast(classes), "source")
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.sha2("text", 256).alias("text_sha256"), "n_chars")
+    rows = docs.join(labels, "doc_id", "left").join(classes(spark, sf_dir), "source")
     blk, moon = F.expr("doc_id div 160"), F.col("doc_id") % 11 == 0
     split = F.when(blk % 5 < 3, "train").when(blk % 5 == 3, "val").otherwise("test")
     leak = F.expr("doc_id div 20") % 10
@@ -55,11 +59,15 @@ def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items(spark, sf_dir).where("doc_id % 13 != 0").select("split", "stem", "source_image")
+    """All items' images, and one for each page, which has no label."""
+    more = read(spark, sf_dir, "pages").select(F.lit("val").alias("split"), F.concat(F.lit("page_"), "page_id").alias("stem"))
+    return items(spark, sf_dir).select("split", "stem", "source_image").unionByName(more.withColumn("source_image", F.concat(F.lit("images/val/"), "stem", F.lit(".png"))))
 
 
 def label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items(spark, sf_dir).where("doc_id % 7 != 0").select("split", "stem", "source_label")
+    """All items' labels, and one for each benchmark passage, which has no image."""
+    more = read(spark, sf_dir, "benchmark").select(F.lit("test").alias("split"), F.concat(F.lit("item_"), "item_id").alias("stem"))
+    return items(spark, sf_dir).select("split", "stem", "source_label").unionByName(more.withColumn("source_label", F.concat(F.lit("labels/test/"), "stem", F.lit(".txt"))))
 
 
 def label_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,13 +91,13 @@ def planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("plane", F.expr("cast(i div 8 as int)").alias("y"), (F.col("i") % 8).alias("x"), F.floor(unit * 255).cast("int").alias("v"))
 
 
-NAMES_SQL = f"""names AS (
-  SELECT CAST(row_number() OVER (ORDER BY source) - 1 AS BIGINT) AS class_id, source AS class_name FROM (SELECT DISTINCT source FROM documents)
-  QUALIFY class_id < {MOON} UNION ALL SELECT {MOON}, 'moon')"""
+NAMES_SQL = f"""sources AS (
+  SELECT source, CAST((row_number() OVER (ORDER BY source) - 1) % {MOON} AS BIGINT) AS class_id FROM (SELECT DISTINCT coalesce(source, '') AS source FROM documents)),
+names AS (SELECT class_id, min(source) AS class_name FROM sources GROUP BY class_id UNION ALL SELECT {MOON}, 'moon')"""
 ITEMS_SQL = f"""{NAMES_SQL},
 raw AS (
-  SELECT d.doc_id, d.source, d.n_chars, sha256(d.text) AS text_sha256, d.doc_id // 160 AS blk, d.doc_id % 11 = 0 AS moon, l.doc_id IS NULL AS bare, n.class_id AS cls
-  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id JOIN names n ON n.class_name = d.source AND n.class_id < {MOON}),
+  SELECT d.doc_id, n.source, d.n_chars, sha256(d.text) AS text_sha256, d.doc_id // 160 AS blk, d.doc_id % 11 = 0 AS moon, l.doc_id IS NULL AS bare, n.class_id AS cls
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id JOIN sources n ON n.source = coalesce(d.source, '')),
 named AS (
   SELECT *, CASE WHEN blk % 5 < 3 THEN 'train' WHEN blk % 5 = 3 THEN 'val' ELSE 'test' END AS split,
     CASE WHEN doc_id // 20 % 10 < 8 THEN 'train' WHEN doc_id // 20 % 10 = 8 THEN 'val' ELSE 'test' END AS split_leaky,
