@@ -41,5 +41,7 @@ def test_cli(capsys, tmp_path):
     with pytest.raises(SystemExit):
         cli.main(["dataset", "build-full"])
     args = cli.parser().parse_args(["dataset", "verify-full", "--output", "o", "--net-config", "n", "--source-sample", "3", "--publish"])
-    assert (args.source_sample, args.publish, args.workers) == (3, True, 0)
+    assert (args.source_sample, args.publish, args.workers) == (3, True, None)
+    for wrong in (["--workers", "0"], ["--workers", "4"], ["--workers", "2", "--opencv-threads", "0"]):
+        assert cli.main(["dataset", "verify-full", "--output", "o", "--net-config", "n", *wrong]) == 2
     assert cli.main(["dataset", "select-smoke", "--source", str(tmp_path), "--output", "x", "--seed", "1"]) == 2
