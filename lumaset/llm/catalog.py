@@ -15,21 +15,25 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keeper, size and digest of each document's group of equal texts."""
     found = exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, fitted on labelled rows that are not held out."""
     found = quality.rate_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without the lines that over 0.3 of their host's pages, three at least, contain."""
     found = line_dedup.line_dedup(read(spark, sf_dir, "pages"), ratio=0.3, min_pages=3)
     return found.select("page_id", "host", "n_lines", "n_dropped", "kept_text")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes that 200-byte strings which occur elsewhere cover."""
     found = repeats.remove_repeats(read(spark, sf_dir, "documents"), width=200)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -40,11 +44,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places and checksums of all documents' ids, read back from grammar shards of byte_bpe_50k ids."""
     found = grammar.token_shards(read(spark, sf_dir, "documents"), bpe.vocabulary("byte_bpe_50k.json"), first=50257, end=0)
     return found.select("doc_id", "start", "n_tokens", "ids_crc32", "bucket", "shard")
 
 
 def op8_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' word_bpe_49k ids in sequences of 2048."""
     return packing.pack_documents(read(spark, sf_dir, "documents"), bpe.vocabulary("word_bpe_49k.json"), 2048, end=0)
 
 

@@ -66,25 +66,40 @@ def _drawn(seed: Column, ident: Column) -> Column:
     return F.aggregate(F.transform(numbers, below), F.lit(0).cast("bigint"), lambda n, more: n + more)
 
 
+def _copies(docs: DataFrame, weights: dict[str, float] | None, exponent: float, epochs: float, seed: str, id_col: str, source_col: str, text_col: str) -> DataFrame:
+    """The copies in shuffled order: the columns of ``docs`` as __0, __1 and so on, and __copy, __n_copies, __shuffle_key."""
+    rates = materialise(source_rates(docs, weights, exponent, epochs, source_col, text_col), "mix-rates")
+    if rates.count() <= BROADCAST_SOURCES:
+        rates = F.broadcast(rates)
+    ident = F.coalesce(F.col("__id").cast("string"), F.lit(""))
+    own = [F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(docs.columns)]
+    rows = docs.select(*own, F.col(id_col).alias("__id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("src"))
+    counted = rows.join(rates, "src").withColumn("__n_copies", _drawn(F.lit(seed), ident)).where("__n_copies > 0").drop("src", *[c for c in rates.columns if c != "src"])
+    copies = counted.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n_copies") - 1)))
+    copies = copies.withColumn("__shuffle_key", _hashed(15, F.lit(seed), F.lit("order"), ident, F.col("__copy")))
+    # keys are uniform below 2**60, so their ranges are known without a sample
+    tasks = partitions(docs.sparkSession)
+    place = F.floor(F.col("__shuffle_key") / F.lit(float(1 << 60)) * F.lit(float(tasks))).cast("int")
+    dealt = copies.drop("__id").withColumn("__place", F.least(place, F.lit(tasks - 1))).repartitionById(tasks, "__place")
+    return dealt.drop("__place").sortWithinPartitions("__shuffle_key", "__copy")
+
+
+def _named(docs: DataFrame) -> list[Column]:
+    return [F.col(f"__{i}").alias(c) for i, c in enumerate(docs.columns)]
+
+
 def mix(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent: float = 0.5, epochs: float = 1.0, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """Copies of the rows of ``docs`` in shuffled order, with copy (from 0), n_copies and shuffle_key.
 
     A row whose count is 0 does not occur.  Null sources form one source with the empty name; sources without a
     weight have rate 0.  Rows that repeat an id get the same count.  A null id is hashed as an empty text.
-    Empty tables give empty results; input columns named like an output column are replaced.
+    Null and empty texts weigh one byte; texts of any length travel whole.  Empty tables give empty results; input
+    columns named like an output column are replaced.
     """
     docs = without(docs, *OUT)
-    rates = materialise(source_rates(docs, weights, exponent, epochs, source_col, text_col), "mix-rates")
-    if rates.count() <= BROADCAST_SOURCES:
-        rates = F.broadcast(rates)
-    ident = F.coalesce(F.col("id").cast("string"), F.lit(""))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("src"))
-    counted = rows.join(rates, "src").withColumn("n_copies", _drawn(F.lit(seed), ident)).where("n_copies > 0")
-    copies = counted.select("row", "id", "n_copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_copies") - 1)).alias("copy"))
-    copies = copies.withColumn("shuffle_key", _hashed(15, F.lit(seed), F.lit("order"), ident, F.col("copy")))
-    # keys are uniform below 2**60, so their ranges are known without a sample
-    tasks = partitions(docs.sparkSession)
-    place = F.floor(F.col("shuffle_key") / F.lit(float(1 << 60)) * F.lit(float(tasks))).cast("int")
-    dealt = copies.withColumn("place", F.least(place, F.lit(tasks - 1))).repartitionById(tasks, "place").sortWithinPartitions("shuffle_key", "copy")
-    return dealt.select("row.*", "copy", "n_copies", "shuffle_key")
+    return _copies(docs, weights, exponent, epochs, seed, id_col, source_col, text_col).select(*_named(docs), *[F.col(f"__{c}").alias(c) for c in OUT])
+
+
+def mixture(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent: float = 0.5, epochs: float = 1.0, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """The copies of ``mix`` with the columns of ``docs``, whatever their names."""
+    return _copies(docs, weights, exponent, epochs, seed, id_col, source_col, text_col).select(*_named(docs))

@@ -158,8 +158,9 @@ def pack(pieces: DataFrame, capacity: int, *, rows_each: int = ROWS_EACH) -> Dat
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 2048, *, end: int = 0, rows_each: int = ROWS_EACH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of all pieces of all rows.
 
-    Null and empty texts are one piece of one id, the end id.  Rows that repeat an id are packed each.  Only
-    documents longer than ``capacity`` are cut.  An empty table gives no rows.
+    Null and empty texts are one piece of one id, the end id.  Rows that repeat an id, or are alike, are packed each.
+    Only documents longer than ``capacity`` are cut; long texts are encoded in parts.  Ties of length go by id and
+    place.  An empty table gives no rows.  Other columns of ``docs`` don't matter.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")

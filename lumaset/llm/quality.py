@@ -172,7 +172,8 @@ def held_out(id_col: str):
 def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Trees:
     """Fit on ``sample`` labelled rows at most, the first by hash of the id, none of them held out.
 
-    Rows that repeat an id are labelled by the larger label; null labels don't count.
+    Rows that repeat an id are labelled by the larger label; null labels don't count.  The rows that are fitted on are
+    the only ones that reach the driver, ``sample`` rows of statistics.
     """
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     chosen = usable.groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).cast("int").alias("label")).orderBy(F.xxhash64("id"), "id").limit(sample)
@@ -192,24 +193,40 @@ def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_
     return fit(x, np.array([r["label"] for r in got], float))
 
 
+def _scored(docs: DataFrame, trees: Trees, text_col: str, name: str) -> DataFrame:
+    """``docs`` with a score under a name that it doesn't have."""
+    at = [n.lower() for n in docs.columns].index(text_col.lower())
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scored = trees.score(statistics_of(batch.column(at).cast(pa.string())))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scored, pa.float64())], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(rate, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+
+
 def score(docs: DataFrame, trees: Trees, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """All rows and columns of ``docs`` with held_out, score and predicted (1 where score >= threshold).
 
     Null and empty texts are scored from zero statistics.  Columns of these names in the input are replaced.
     """
-    docs = without(docs, "held_out", "score", "predicted")
-    names = docs.columns
-    at = [n.lower() for n in names].index(text_col.lower())
-    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
+    rated = _scored(without(docs, "held_out", "score", "predicted"), trees, text_col, "score")
+    return rated.withColumn("held_out", held_out(id_col)).withColumn("predicted", (F.col("score") >= F.lit(threshold)).cast("int"))
 
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scored = trees.score(statistics_of(batch.column(at).cast(pa.string())))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scored, pa.float64())], names=[*batch.schema.names, "score"])
 
-    rated = docs.mapInArrow(rate, schema)
-    return rated.withColumn("held_out", held_out(id_col)).withColumn("predicted", (F.col("score") >= F.lit(threshold)).cast("int"))
+def rate_documents(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, threshold: float = 0.3) -> DataFrame:
+    """All rows and columns of ``docs`` with held_out, score and predicted, by a classifier fitted on ``labels``.
+
+    Null and empty texts are scored from zero statistics, so alike; long texts are measured whole, at about 60 bytes of
+    memory a byte of the longest.  Rows that repeat an id are scored each, by their own text; equal texts get equal
+    scores.  Without usable labels, or with those of one kind, all scores are one number.  An empty table gives an
+    empty result.  Input columns named held_out, score or predicted are replaced.
+    """
+    trees = train(docs, labels, label_col=label_col, id_col=id_col, text_col=text_col, sample=sample)
+    return score(docs, trees, id_col=id_col, text_col=text_col, threshold=threshold)
 
 
-def rate_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    return score(docs, train(docs, labels, **options))
+def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, **options) -> DataFrame:
+    """The rows that the classifier doesn't reject, with the columns of ``docs``, whatever their names; else as ``rate_documents``."""
+    trees = train(docs, labels, id_col=id_col, text_col=text_col, **options)
+    return _scored(docs, trees, text_col, "__rated").where(F.col("__rated") >= threshold).drop("__rated")

@@ -14,10 +14,13 @@ _own: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set (one machine, tests)."""
+    """The cluster's checkpoint folder; a temporary one where none is set on a single machine (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        # executors would each write to a disk of their own
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="lumaset-shared-")
@@ -67,7 +70,11 @@ def text_or_empty(name: str = "text"):
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of finished phases, whose results are in shared tables, now rather than later."""
+    """Let Spark delete shuffle files of finished phases, whose results are in shared tables, now rather than later.
+
+    Spark deletes them when the driver's JVM has collected the plans that made them; between phases that each shuffle
+    the whole input, waiting for that to happen by itself would double the disk in use.
+    """
     import gc
 
     gc.collect()

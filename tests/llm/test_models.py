@@ -1,5 +1,7 @@
 import hashlib
+import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -30,6 +32,86 @@ def test_trees_learn_and_walk():
         assert ((flat > 0) & (flat < 1)).all()
 
 
+def plain_statistics(text):
+    """The statistics in plain Python, by name."""
+    raw, n = text.encode(), len(text.encode())
+    words, lines = re.findall(rb"[^ \t\r\x0b\x0c\n]+", raw), re.findall(rb"[^\n]+", raw)
+    upper, digit = lambda b: 65 <= b <= 90, lambda b: 48 <= b <= 57
+    letter = lambda b: upper(b) or 97 <= b <= 122
+    blank, symbol = lambda b: b in b" \t\r\x0b\x0c", lambda b: b < 128 and not letter(b) and not digit(b) and b not in b" \t\r\x0b\x0c\n,;:.!?'\"()-"
+    share = lambda test: sum(map(test, raw)) / n
+    mean, spread = lambda x: sum(x) / len(x) if x else 0.0, lambda x: (sum((v - sum(x) / len(x)) ** 2 for v in x) / len(x)) ** 0.5 if x else 0.0
+    variety = lambda x: (len(set(x)) / len(x), max(Counter(x).values()) / len(x)) if x else (0.0, 0.0)
+    entropy = lambda counts: -sum(c / sum(counts) * math.log2(c / sum(counts)) for c in counts)
+    most = lambda test: mean([sum(map(test, w)) * 2 > len(w) for w in words])
+    wl, ll = [len(w) for w in words], [len(x) for x in lines]
+    letters = list(Counter(b | 32 for b in raw if letter(b)).values())
+    return {
+        "bytes": math.log1p(n), "words": math.log1p(len(words)), "lines": math.log1p(len(lines)), "word_length": mean(wl), "word_length_spread": spread(wl),
+        "long_words": mean([x > 14 for x in wl]), "short_words": mean([x < 3 for x in wl]), "line_length": math.log1p(mean(ll)), "line_length_spread": math.log1p(spread(ll)),
+        "upper": share(upper), "digits": share(digit), "spaces": share(blank), "newlines": raw.count(b"\n") / n, "commas": share(lambda b: b in b",;:"), "stops": share(lambda b: b in b".!?"),
+        "marks": share(lambda b: b in b"'\"()-"), "symbols": share(symbol), "wide": share(lambda b: b >= 128), "repeated_bytes": mean([a == b for a, b in zip(raw, raw[1:])]),
+        "word_variety": variety(words)[0], "pair_variety": variety(list(zip(words, words[1:])))[0] if len(words) > 1 else 1.0, "line_variety": variety(lines)[0],
+        "top_word": variety(words)[1], "top_line": variety(lines)[1], "byte_entropy": entropy(list(Counter(raw).values())), "pipes": raw.count(b"|") / n,
+        "capital_starts": mean([upper(w[0]) for w in words]), "ended_lines": mean([x[-1] in b".!?" for x in lines]), "digit_words": most(digit), "symbol_words": most(symbol), "upper_words": most(upper),
+        "packed": len(zlib.compress(raw, 1)) / n, "sentence_length": min(200.0, max(1, len(words)) / max(1, sum(w[-1] in b".!?" for w in words))),
+        "letters_entropy": entropy(letters) if letters else 0.0, "longest_word": math.log1p(max(wl, default=0)),
+    }
+
+
+def test_statistics_equal_plain_ones():
+    rnd = random.Random(3)
+    texts = ["a", " ", "\n", "A b.\nA b.\n\nC|d 12,5 (x)\r\n\té日 WORD!", "x" * 300, "no letters: 12 34!".upper()]
+    texts += ["".join(rnd.choice("abcABC 019,.!|\n\t'é~") for _ in range(rnd.randint(1, 400))) for _ in range(60)]
+    for text in texts:
+        want = plain_statistics(text)
+        found = dict(zip(quality.FEATURES, quality.statistics(text.encode()), strict=True))
+        assert found.keys() == want.keys()
+        for name in want:
+            assert found[name] == pytest.approx(want[name], rel=1e-6, abs=1e-9), (name, text)
+
+
+def plain_score(trees, row):
+    margin = trees.base
+    for feature, cut, value in zip(trees.feature, trees.cut, trees.value, strict=True):
+        node = 0
+        while node < len(feature):
+            node = 2 * node + (2 if row[feature[node]] > cut[node] else 1)
+        margin += value[node - len(feature)]
+    return 1 / (1 + math.exp(-margin))
+
+
+def test_splits_and_walk_equal_plain_ones(monkeypatch):
+    """The first tree's root against trying every cut of every statistic; the flattened walk against one by nodes."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 5)).round(2)
+    y = (x[:, 2] + 0.3 * rng.normal(size=300) > 0.4).astype(float)
+    trees = quality.fit(x, y)
+    base = (y.sum() + 1) / (len(y) + 2)
+    g, h = y - base, np.full(len(y), base * (1 - base))
+    best = (-1.0, None, None)
+    for f in range(x.shape[1]):
+        for cut in np.unique(np.quantile(x[:, f], np.linspace(0, 1, quality.BINS + 1)[1:-1])):
+            left = x[:, f] <= cut
+            if min(left.sum(), (~left).sum()) >= quality.LEAST:
+                gain = sum(g[s].sum() ** 2 / (h[s].sum() + quality.SMOOTH) for s in (left, ~left)) - g.sum() ** 2 / (h.sum() + quality.SMOOTH)
+                if gain > best[0] + 1e-12:
+                    best = (gain, f, cut)
+    assert (trees.feature[0][0], trees.cut[0][0]) == best[1:]
+    assert trees.score(x) == pytest.approx([plain_score(trees, row) for row in x])
+    assert ((trees.score(x) > 0.5) == y).mean() > 0.9
+
+
+def test_quality_separates_the_drivers_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rated = catalog.op6_quality(spark, sf)
+    assert rated.count() == docs.count()
+    held = rated.where("held_out").join(labels, "doc_id").select("score", "quality").collect()
+    good, bad = ([r.score for r in held if r.quality == q] for q in (1, 0))
+    assert np.mean([a > b for a in good for b in bad]) > 0.99
+
+
 def labelled(spark, n=500):
     rnd = random.Random(2)
     rows = []
@@ -123,8 +205,8 @@ def test_fingerprints(docs, rows):
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         assert r.edited_fingerprint == fingerprints.spelled(*fingerprints.fingerprints([edited])[0])
         assert by_text.setdefault(text, r.fingerprint) == r.fingerprint
-        assert 0 <= r.near_edited <= 1
-        assert 0 <= r.near_next <= 1
+        assert r.near_edited == plain_likeness(text, edited)
+        assert r.near_next == plain_likeness(text, following)
 
 
 def test_fingerprints_edges(spark, docs, no_docs, twice, rows):
@@ -146,6 +228,18 @@ def plain_walk(text):
     return len(read), [read[s] for s in fingerprints.sample_steps(len(read))] if read else []
 
 
+def plain_likeness(a, b):
+    """Share of the steps sampled for both texts at which they agree, beyond one in sixteen."""
+    (na, sa), (nb, sb) = plain_walk(a), plain_walk(b)
+    if (na, sa) == (nb, sb):
+        return 1.0
+    if not na or not nb:
+        return 0.0
+    ours, theirs = (dict(zip(fingerprints.sample_steps(n).tolist(), s)) for n, s in ((na, sa), (nb, sb)))
+    share = sum(theirs.get(step) == v for step, v in ours.items()) / max(len(ours), len(theirs))
+    return max(0.0, min(1.0, (share - 1 / 16) / (1 - 1 / 16)))
+
+
 def test_walk_in_lockstep():
     rnd = random.Random(8)
     texts = ["".join(rnd.choice("abcé日 ") for _ in range(rnd.choice([0, 1, 2, 50, 700, 9000]))) for _ in range(25)]
@@ -248,10 +342,42 @@ def test_fingerprint_query_links(spark, docs, twice, no_docs, rows):
     assert "near_id" in catalog.op10_fingerprints(spark, "/root/testdata/sf0.001").columns
 
 
+def plain_mixture(rows):
+    """Copies of each document for targets that are the square roots of the sources' sizes."""
+    size = defaultdict(int)
+    for _, t, s in rows:
+        size[s or ""] += len((t or "").encode()) + 1
+    goal = {s: v**0.5 for s, v in size.items()}
+    out = Counter()
+    for i, _, s in rows:
+        rate = goal[s or ""] / sum(goal.values()) * sum(size.values()) / size[s or ""]
+        assert rate <= 32
+        u, k = int(hashlib.sha256(f"mix|{i}|1".encode()).hexdigest()[:13], 16) / 2**52, 0
+        p = total = math.exp(-rate)
+        while total <= u:
+            k += 1
+            p *= rate / k
+            total += p
+        out[i] += k
+    return +out
+
+
+def test_stages_keep_columns_of_the_user(spark):
+    """Columns named like those that operators add pass through the stages unchanged."""
+    docs, labels, _ = labelled(spark, 60)
+    own = {"score": "s", "held_out": "h", "predicted": "p", "kept": "k", "keep_id": "i", "group_size": "g", "copy": "c", "n_copies": "n", "shuffle_key": "x", "component_id": "d"}
+    docs = docs.select("doc_id", "text", F.lit("web").alias("source"), *[F.lit(v).alias(c) for c, v in own.items()])
+    from lumaset.llm import exact_dedup, near_dups
+
+    for made in (quality.keep_good(docs, labels), exact_dedup.drop_exact_copies(docs), near_dups.drop_near_duplicates(docs), mixing.mixture(docs)):
+        assert made.columns == docs.columns
+        assert made.select(*own).distinct().collect() == [tuple(own.values())]
+
+
 def test_pipeline_stages_in_order(spark, monkeypatch):
     """Each stage against a plain version of it on the driver's smallest tables."""
     from test_dedup import expected_exact, expected_near
-    from test_tokens import check_packing
+    from test_tokens import WORD, library_ids
 
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -264,8 +390,9 @@ def test_pipeline_stages_in_order(spark, monkeypatch):
         if k < 4:
             assert after.columns == docs.columns
         if k == 0:
-            rated = quality.rate_documents(state, spark.read.parquet(f"{sf}/labels.parquet")).where("predicted = 1")
-            assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in rated.collect())
+            trees = quality.train(state, spark.read.parquet(f"{sf}/labels.parquet"))
+            scores = {i: plain_score(trees, quality.statistics((t or "").encode())) for i, t, _ in before}
+            assert sorted(r.doc_id for r in got) == sorted(i for i, s in scores.items() if s >= 0.3)
             good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").collect()}
             assert len(good - {r.doc_id for r in got}) <= 0.05 * len(good)
         elif k == 1:
@@ -273,16 +400,17 @@ def test_pipeline_stages_in_order(spark, monkeypatch):
         elif k == 2:
             assert sorted(r.doc_id for r in got) == sorted(i for i, e in expected_near(before, 5).items() if e[2])
         elif k == 3:
-            assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in mixing.mix(state, exponent=0.5, epochs=1.0, seed="mix").collect())
+            assert Counter(r.doc_id for r in got) == plain_mixture(before)
+            assert {(r.doc_id, r.text, r.source) for r in got} <= set(before)
         else:
-            unique = {i: t for i, t, _ in before}
-            copies = Counter(i for i, *_ in before)
-            first = defaultdict(int)
-            for r in got:
-                first[r.doc_id] += r.piece == 0
-            assert first == copies
-            single = [r for r in got if copies[r.doc_id] == 1]
-            assert {r.doc_id for r in single} == {i for i in unique if copies[i] == 1}
+            copies, unique = Counter(i for i, *_ in before), {i: t for i, t, _ in before}
+            ids = {i: [*x, 0] for i, x in zip(unique, library_ids(WORD, list(unique.values())), strict=True)}
+            want = Counter()
+            for i, n in copies.items():
+                for k in range(0, len(ids[i]), 2048):
+                    part = np.array(ids[i][k : k + 2048], "<u4")
+                    want[i, k // 2048, k, len(part), zlib.crc32(part.tobytes())] += n
+            assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
             ends = defaultdict(list)
             for r in got:
                 ends[r.sequence_id].append((r.offset, r.offset + r.length))
@@ -291,7 +419,7 @@ def test_pipeline_stages_in_order(spark, monkeypatch):
                 assert places[0][0] == 0
                 assert all(a[1] == b[0] for a, b in zip(places, places[1:]))
                 assert places[-1][1] <= 2048
-            assert check_packing is not None
+            assert len(ends) <= -(-sum(n * len(ids[i]) for i, n in copies.items()) // 2048) * 1.05 + 1
         state = after
 
 
