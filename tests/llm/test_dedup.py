@@ -121,6 +121,31 @@ def test_near(docs, rows, size):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == expected_near(rows, size)
 
 
+def test_rarest_lists_hold_every_match(spark):
+    """Pairs that agree in MATCHES coordinates meet in a list that is left; what agrees in fewer need not."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(-(2**31), 2**31, (6, near_dups.COORDINATES))
+    common = rng.integers(-(2**31), 2**31, near_dups.COORDINATES)
+    rows = []
+    for doc in range(90):
+        own = base[doc % 6].copy()
+        # some coordinates are everybody's, some are its own
+        shared, own_at = rng.choice(near_dups.COORDINATES, rng.integers(0, 30), replace=False), rng.choice(near_dups.COORDINATES, rng.integers(0, 40), replace=False)
+        own[shared] = common[shared]
+        own[own_at] = rng.integers(-(2**31), 2**31, len(own_at))
+        rows.append(own)
+    signed = spark.createDataFrame([(i, [int(v) for v in r]) for i, r in enumerate(rows)], "doc bigint, signature array<int>")
+    held = defaultdict(set)
+    posted = near_dups.rarest_lists(signed).collect()
+    for r in posted:
+        held[r.key].add(r.doc)
+    meet = {(a, b) for docs in held.values() for a in docs for b in docs if a < b}
+    match = {(a, b) for b in range(90) for a in range(b) if (rows[a] == rows[b]).sum() >= near_dups.MATCHES}
+    assert match
+    assert match <= meet
+    assert max(Counter(r.doc for r in posted).values()) <= near_dups.COORDINATES - near_dups.MATCHES + 1
+
+
 def test_near_in_blocks(docs, rows, monkeypatch):
     monkeypatch.setattr(near_dups, "LIST", 2)
     monkeypatch.setattr(near_dups, "FAMILY", 2)

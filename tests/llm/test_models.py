@@ -327,6 +327,26 @@ def test_blocks_compare_all_in_a_band(spark, monkeypatch):
     assert set(joined((r.doc_id, r.leader) for r in fingerprints.near_links(table).collect()).values()) == {0}
 
 
+def test_recall_of_long_texts(spark):
+    """Bands find nine in ten of the pairs that comparing all fingerprints finds, also where likeness is just enough."""
+    rnd = random.Random(14)
+    texts = []
+    for _ in range(30):
+        base = [rnd.choice("abcdefghij klmno") for _ in range(rnd.randint(400, 3000))]
+        for edits in (0, 1, 3, 10, 30, 80):
+            new = list(base)
+            for _ in range(edits):
+                new[rnd.randrange(len(new))] = rnd.choice("xyz")
+            texts.append("".join(new))
+    own = fingerprints.fingerprints(texts)
+    pairs = [(i, j) for j in range(len(own)) for i in range(j) if fingerprints.likeness(own[i], own[j]) >= 0.8]
+    table = spark.createDataFrame([(i, fingerprints.spelled(*p)) for i, p in enumerate(own)], "doc_id bigint, fingerprint string")
+    found = joined((r.doc_id, r.leader) for r in fingerprints.near_links(table).collect())
+    caught = [found.get(i, i) == found.get(j, j) for i, j in pairs]
+    assert len(pairs) > 100
+    assert np.mean(caught) >= 0.9
+
+
 def test_fingerprint_query_links(spark, docs, twice, no_docs, rows):
     found = fingerprints.with_near_ids(fingerprints.fingerprint_documents(docs)).collect()
     own = [(r[0], fingerprints.fingerprints([r[1] or ""])[0]) for r in rows]
