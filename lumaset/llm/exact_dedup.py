@@ -23,7 +23,7 @@ from .shared import discard, materialise, partitions, without
 
 OUT = ("keep_id", "group_size", "kept", "text_sha256")
 #: Fingerprints that a bucket holds at most; more only where there would be over MOST buckets.
-CAPACITY, MOST = 2048, 1 << 17
+CAPACITY, MOST = 1024, 1 << 17
 #: Bits by which cells are divided at a time to find overfull buckets, and rows that one task owns of a fingerprint.
 STEP, HOT = 4, 1024
 _HALF = 1 << 63
@@ -92,7 +92,7 @@ def bucket_of(fp: Column, directory: list[Bucket]) -> Column:
 def build_index(rows: DataFrame, *, capacity: int = CAPACITY, hot: int = HOT) -> tuple[DataFrame, list[Bucket]]:
     """Index files (bucket, fp, links, body, text_sha256, keep_id, group_size) and the directory over rows of (id, body, fp).
 
-    ``links`` is the length of the chain; ``body`` is kept only where it is over 1, for lookups to compare.
+    ``links`` is over 1 for chains of several texts; only these keep their ``body``, for lookups to compare.
     """
     counts = materialise(rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n")), "exact-prints")
     directory = build_directory(counts, capacity)
@@ -103,21 +103,26 @@ def build_index(rows: DataFrame, *, capacity: int = CAPACITY, hot: int = HOT) ->
     shared = F.broadcast(counts.where(F.col("n") > share).select("fp", F.ceil(F.col("n") / F.lit(share)).alias("ways")))
     routed = rows.join(shared, "fp", "left").withColumn("bucket", bucket_of(F.col("fp"), directory))
     routed = routed.withColumn("way", F.when(F.col("ways").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("ways"))).cast("int"))
+    # a task owns as many neighbouring buckets as any other; assistants are the tasks after it
+    owner = ((F.floor(F.col("bucket") * tasks / len(directory)) + F.col("way")) % tasks).cast("int")
     # the owner of a bucket gets its rows whole; the aggregate that chains them compares bytes where it stands
-    owned = routed.select("bucket", "way", "fp", F.col("ways").isNotNull().alias("dealt"), "id", "body").repartition(tasks, "bucket", "way")
-    links = owned.groupBy("bucket", "way", "fp", "dealt", "body").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    links = materialise(links, "exact-links")
-    dealt = links.where("dealt").groupBy("bucket", "fp", "body").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-    links = links.where("not dealt").select("bucket", "fp", "body", "keep_id", "group_size").unionByName(dealt)
-    chains = links.groupBy("bucket", "fp").agg(F.count(F.lit(1)).alias("links")).where("links > 1")
-    several = materialise(chains, "exact-chains")
-    known = links.select("bucket", "fp", F.sha2("body", 256).alias("text_sha256"), "keep_id", "group_size", "body")
-    if several.isEmpty():
-        index = known.select("bucket", "fp", F.lit(1).cast("bigint").alias("links"), F.lit(None).cast("string").alias("body"), "text_sha256", "keep_id", "group_size")
-    else:
-        index = known.join(several, ["bucket", "fp"], "left").select("bucket", "fp", F.coalesce("links", F.lit(1).cast("bigint")).alias("links"), F.when(F.col("links") > 1, F.col("body")).alias("body"), "text_sha256", "keep_id", "group_size")
-    index = materialise(index, "exact-index")
-    discard(several, counts)
+    owned = routed.select(owner.alias("owner"), "bucket", "fp", F.col("ways").isNotNull().alias("dealt"), "id", "body").repartitionById(tasks, "owner")
+    links = owned.groupBy("owner", "bucket", "fp", "dealt", "body").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # still with the owner: a chain of one link is an entry as it is; texts are passed on by assistants only
+    entry = [F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.max(F.sha2("body", 256)).alias("text_sha256"), F.count(F.lit(1)).alias("links")]
+    entries = materialise(links.groupBy("owner", "bucket", "fp", "dealt").agg(*entry, F.max(F.when(F.col("dealt"), F.col("body"))).alias("body")), "exact-entries")
+    passed = entries.where("dealt").groupBy("bucket", "fp", "body").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"), F.max("text_sha256").alias("text_sha256"), F.max("links").alias("links"))
+    passed = passed.groupBy("bucket", "fp").agg(*[F.max(c).alias(c) for c in ("keep_id", "group_size", "text_sha256")], F.greatest(F.max("links"), F.count(F.lit(1))).alias("links"))
+    found = entries.where("not dealt").select("bucket", "fp", "keep_id", "group_size", "text_sha256", "links").unionByName(passed)
+    single = found.where("links = 1").withColumn("body", F.lit(None).cast("string"))
+    chained = materialise(found.where("links > 1").select("bucket", "fp"), "exact-chained")
+    if not chained.isEmpty():
+        # different texts share a fingerprint: their rows once more, a link for each text
+        again = routed.select("bucket", "fp", "body", "id").join(chained, ["bucket", "fp"], "left_semi").groupBy("bucket", "fp", "body").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        several = again.withColumn("text_sha256", F.sha2("body", 256)).withColumn("links", F.lit(2).cast("bigint"))
+        single = single.unionByName(several.select(*single.columns))
+    index = materialise(single, "exact-index")
+    discard(entries, chained, counts)
     return index, directory
 
 
@@ -134,6 +139,18 @@ def look_up(rows: DataFrame, index: DataFrame, directory: list[Bucket]) -> DataF
     return found
 
 
+def _found(docs: DataFrame, id_col: str, text_col: str, fingerprint: Column | None, capacity: int, hot: int) -> DataFrame:
+    """(row, kept, keep_id, group_size, text_sha256): a struct of the columns of ``docs`` and what the index says of it."""
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    fp = F.xxhash64("body") if fingerprint is None else fingerprint
+    rows = docs.select(F.col(id_col).alias("id"), body.alias("body")).withColumn("fp", fp)
+    index, directory = build_index(rows, capacity=capacity, hot=hot)
+    # the struct keeps clashing names of the input apart
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), body.alias("body")).withColumn("fp", fp)
+    kept = F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull())
+    return look_up(keyed, index, directory).select("row", kept.alias("kept"), "keep_id", "group_size", "text_sha256")
+
+
 def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fingerprint: Column | None = None, capacity: int = CAPACITY, hot: int = HOT) -> DataFrame:
     """All rows and columns of ``docs`` with keep_id, group_size, kept and text_sha256.
 
@@ -142,20 +159,9 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     stays beside other ids.  Empty tables give empty results; input columns named like an output column are replaced.
     ``fingerprint`` (a bigint expression over the column ``body``) is exchangeable to test collisions.
     """
-    docs = without(docs, *OUT)
-    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    fp = F.xxhash64("body") if fingerprint is None else fingerprint
-    rows = docs.select(F.col(id_col).alias("id"), body.alias("body")).withColumn("fp", fp)
-    index, directory = build_index(rows, capacity=capacity, hot=hot)
-    # the struct keeps clashing names of the input apart
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), body.alias("body")).withColumn("fp", fp)
-    found = look_up(keyed, index, directory)
-    kept = F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull())
-    return found.select("row.*", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+    return _found(without(docs, *OUT), id_col, text_col, fingerprint, capacity, hot).select("row.*", *OUT)
 
 
-def drop_exact_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_exact_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fingerprint: Column | None = None, capacity: int = CAPACITY, hot: int = HOT) -> DataFrame:
     """The rows that stay, with the columns of ``docs``, whatever their names; else as ``exact_dedup``."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    found = exact_dedup(docs.select(row, F.col(id_col).alias("id"), F.col(text_col).alias("text")), id_col="id", text_col="text", **options)
-    return found.where("kept").select("row.*")
+    return _found(docs, id_col, text_col, fingerprint, capacity, hot).where("kept").select("row.*")
