@@ -35,54 +35,67 @@ LEAST, EVERY = 8, 1024
 SHARD_CHARS = 1 << 22
 
 
-def frequent_pairs(seq: np.ndarray, least: int) -> np.ndarray:
-    """Keys (left * 2**32 + right) of pairs that occur ``least`` times, by falling count; left and right ids are disjoint sets.
+def candidates(seq: np.ndarray, least: int, since: int | None, waiting: np.ndarray) -> np.ndarray:
+    """Places of pairs of two different ids that may occur ``least`` times.
 
-    Ids paired with themselves are left out: their occurrences overlap.
+    At first, those that share a slot of a table with as many others.  Later, pairs of older ids only get rarer, so
+    those in ``waiting`` (frequent when last counted, but not replaced) and pairs with an id from ``since`` on.
     """
-    bits = max(12, min(20, len(seq).bit_length()))
-    slot = ((seq[:-1] * np.uint32(0x9E3779B1)) ^ (seq[1:] * np.uint32(0x85EBCA6B))) >> np.uint32(32 - bits)
-    # a pair that occurs often has a slot that is hit as often; other pairs are counted in vain only
-    heavy = np.bincount(slot, minlength=1 << bits) >= least
-    at = np.flatnonzero(heavy[slot] & (seq[:-1] != seq[1:]))
-    codes, keys = pd.factorize((seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1])
-    counts = np.bincount(codes, minlength=len(keys))
-    often = np.flatnonzero(counts >= least)
-    keys = keys[often[np.lexsort((keys[often], -counts[often]))]]
-    left, right, chosen = set(), set(), []
-    for key in keys.tolist():
+    if since is None:
+        bits = max(12, min(20, len(seq).bit_length()))
+        slot = ((seq[:-1] * np.uint32(0x9E3779B1)) ^ (seq[1:] * np.uint32(0x85EBCA6B))) >> np.uint32(32 - bits)
+        open_ = (np.bincount(slot, minlength=1 << bits) >= least)[slot]
+    else:
+        new = seq >= since
+        open_ = new[:-1] | new[1:]
+        if len(waiting):
+            left, right = (np.zeros(int(seq.max()) + 1, bool) for _ in range(2))
+            for side, ids in ((left, waiting >> np.uint64(32)), (right, waiting & np.uint64(0xFFFFFFFF))):
+                side[ids[ids < len(side)]] = True
+            open_ |= left[seq[:-1]] & right[seq[1:]]
+    return np.flatnonzero(open_ & (seq[:-1] != seq[1:]))
+
+
+def chosen_pairs(keys: np.ndarray) -> np.ndarray:
+    """Which keys (left * 2**32 + right) are replaced together: left and right ids are disjoint sets, first come first served."""
+    left, right = set(), set()
+    take = np.zeros(len(keys), bool)
+    for i, key in enumerate(keys.tolist()):
         a, b = key >> 32, key & 0xFFFFFFFF
         if a not in right and b not in left:
             left.add(a)
             right.add(b)
-            chosen.append(key)
-    return np.array(chosen, np.uint64)
+            take[i] = True
+    return take
 
 
-def replace_pairs(seq: np.ndarray, top: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rules for ids from ``top`` on, shortened sequence)."""
-    keys = frequent_pairs(seq, least)
-    if not len(keys):
-        return np.zeros((0, 2), np.uint32), seq
-    rules = np.stack([keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-    is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
-    is_left[rules[:, 0]] = is_right[rules[:, 1]] = True
-    at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
-    order = np.argsort(keys)
-    ranked = keys[order]
-    key = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-    found = np.minimum(np.searchsorted(ranked, key), len(ranked) - 1)
-    hit = ranked[found] == key
-    return rules, merged(seq, at[hit], top + order[found[hit]])
+def replace_pairs(seq: np.ndarray, top: int, least: int, since: int | None, waiting: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rules for ids from ``top`` on, shortened sequence, keys of frequent pairs that wait)."""
+    at = candidates(seq, least, since, waiting)
+    codes, keys = pd.factorize((seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1])
+    counts = np.bincount(codes, minlength=len(keys))
+    often = np.flatnonzero(counts >= least)
+    often = often[np.lexsort((keys[often], -counts[often]))]
+    take = chosen_pairs(keys[often])
+    chosen = often[take]
+    if not len(chosen):
+        return np.zeros((0, 2), np.uint32), seq, keys[often]
+    number = np.full(len(keys), -1)
+    number[chosen] = np.arange(len(chosen))
+    hit = number[codes] >= 0
+    rules = np.stack([keys[chosen] >> np.uint64(32), keys[chosen] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+    return rules, merged(seq, at[hit], top + number[codes[hit]]), keys[often[~take]]
 
 
 def replace_runs(seq: np.ndarray, top: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """As ``replace_pairs`` for ids next to themselves: every other position of a run stands for two."""
-    starts = np.flatnonzero(np.concatenate([[True], seq[1:] != seq[:-1]]))
-    halves = np.diff(np.append(starts, len(seq))) // 2
-    starts, halves = starts[halves > 0], halves[halves > 0]
+    """(rules, shortened sequence) for ids next to themselves: every other position of a run stands for two."""
+    same = np.flatnonzero(seq[1:] == seq[:-1])
+    if not len(same):
+        return np.zeros((0, 2), np.uint32), seq
+    first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
+    starts, halves = same[first], (np.diff(np.append(first, len(same))) + 1) // 2
     ids, which = np.unique(seq[starts], return_inverse=True)
-    often = np.bincount(which, halves, len(ids)) >= least if len(ids) else np.zeros(0, bool)
+    often = np.bincount(which, halves, len(ids)) >= least
     if not often.any():
         return np.zeros((0, 2), np.uint32), seq
     number = np.cumsum(often) - 1
@@ -104,15 +117,20 @@ def merged(seq: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def compress(seq: np.ndarray, first: int, *, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """Rules (n x 2; rule i defines id first + i) and the sequence, in which no pair occurs ``least`` times any more."""
-    rules, top = [np.zeros((0, 2), np.uint32)], first
+    rules, top, since, waiting = [np.zeros((0, 2), np.uint32)], first, None, np.zeros(0, np.uint64)
     while len(seq) > 1:
         before = top
-        for replace in (replace_runs, replace_pairs):
-            made, seq = replace(seq, top, least)
-            rules.append(made)
-            top += len(made)
+        made, seq = replace_runs(seq, top, least)
+        rules.append(made)
+        top += len(made)
+        now = top
+        made, seq, waiting = replace_pairs(seq, top, least, since, waiting)
+        rules.append(made)
+        top += len(made)
         if top == before:
             break
+        # ids that runs made before this count were in it
+        since = now
     return np.concatenate(rules), seq
 
 
