@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+#: Paths that this process gave out, by application.
+_written: dict[str, list[str]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -29,7 +31,20 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/lumaset/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/lumaset/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables and files that operators wrote in this session; results that read them must be written before."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -46,10 +61,7 @@ def discard(*tables: DataFrame) -> None:
     for table in tables:
         path = getattr(table, "_lumaset_path", None)
         if path:
-            jvm = table.sparkSession._jvm
-            hadoop = table.sparkSession._jsc.hadoopConfiguration()
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(hadoop).delete(where, True)
+            delete(table.sparkSession, path)
 
 
 def partitions(spark: SparkSession) -> int:

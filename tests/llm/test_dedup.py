@@ -177,6 +177,19 @@ def test_shingle_sets(texts):
     assert counts.tolist() == [len(shingles(t, 2)) for t in texts]
 
 
+def test_scratch_is_cleared(spark):
+    from pathlib import Path
+
+    from lumaset.llm import shared
+
+    table = shared.materialise(spark.range(3), "scratch")
+    here = Path(table._lumaset_path.removeprefix("file://"))
+    assert list(here.iterdir())
+    shared.clear(spark)
+    assert not here.exists()
+    shared.clear(spark)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 105), (105, 103), (7, 7), (100, 105)]
     found = components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
