@@ -32,7 +32,8 @@ def classes() -> np.ndarray:
     """Class of each code point; BLANK is U+0020 alone."""
     if "classes" not in _tables:
         table = np.full(sys.maxunicode + 1, OTHER, np.uint8)
-        for cp in range(sys.maxunicode + 1):
+        # the planes from 4 on hold neither letters nor numbers, but that plane 14 might
+        for cp in (*range(0x40000), *range(0xE0000, 0xF0000)):
             kind = unicodedata.category(chr(cp))[0]
             if kind == "L":
                 table[cp] = LETTER

@@ -44,7 +44,9 @@ def candidates(seq: np.ndarray, least: int, since: int | None, waiting: np.ndarr
     if since is None:
         bits = max(12, min(20, len(seq).bit_length()))
         slot = ((seq[:-1] * np.uint32(0x9E3779B1)) ^ (seq[1:] * np.uint32(0x85EBCA6B))) >> np.uint32(32 - bits)
-        open_ = (np.bincount(slot, minlength=1 << bits) >= least)[slot]
+        # neither id of such a pair is rarer than the pair
+        often = np.bincount(seq) >= least
+        open_ = (np.bincount(slot, minlength=1 << bits) >= least)[slot] & often[seq[:-1]] & often[seq[1:]]
     else:
         new = seq >= since
         open_ = new[:-1] | new[1:]
@@ -146,8 +148,8 @@ def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
         lengths = new
 
 
-def expand(seq: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """The ids that a sequence stands for."""
+def unrolled(seq: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
+    """The ids that a sequence stands for, one level of rules after the other."""
     seq = seq.astype(np.uint32)
     while len(rules):
         inner = seq >= first
@@ -162,6 +164,26 @@ def expand(seq: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
     return seq
 
 
+def expand(seq: np.ndarray, rules: np.ndarray, first: int, lengths: np.ndarray) -> np.ndarray:
+    """The ids that a sequence stands for, gathered from the rules' expansions where those are shorter than the result."""
+    sizes = widths(seq, lengths, first)
+    total, known = int(sizes.sum()), int(lengths.sum())
+    if not known or known > total:
+        return unrolled(seq, rules, first)
+    flat = np.concatenate([np.arange(first, dtype=np.uint32), unrolled(np.arange(first, first + len(rules)), rules, first)])
+    starts = np.concatenate([np.arange(first), first + np.cumsum(lengths, dtype=np.int64) - lengths])
+    before = np.cumsum(sizes) - sizes
+    return flat[np.repeat(starts[seq] - before, sizes) + np.arange(total)]
+
+
+def widths(symbols: np.ndarray, lengths: np.ndarray, first: int) -> np.ndarray:
+    """Ids that each symbol stands for."""
+    out = np.ones(len(symbols), np.int64)
+    inner = symbols >= first
+    out[inner] = lengths[symbols[inner].astype(np.int64) - first]
+    return out
+
+
 @dataclass
 class Shard:
     first: int
@@ -194,7 +216,7 @@ class Shard:
         return cls(first, out[0].reshape(-1, 2), *out[1:], every)
 
     def ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.first)
+        return expand(self.symbols, self.rules, self.first, self.lengths)
 
     def document(self, ordinal: int) -> np.ndarray:
         """Ids of one document, from the checkpoint before it and the symbols up to its end."""
@@ -205,15 +227,7 @@ class Shard:
         ends = int(self.checkpoints[first]) + np.cumsum(widths(near, self.lengths, self.first))
         lo, hi = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
         skip = start - int(ends[lo - 1] if lo else self.checkpoints[first])
-        return expand(near[lo:hi], self.rules, self.first)[skip : skip + stop - start]
-
-
-def widths(symbols: np.ndarray, lengths: np.ndarray, first: int) -> np.ndarray:
-    """Ids that each symbol stands for."""
-    out = np.ones(len(symbols), np.int64)
-    inner = symbols >= first
-    out[inner] = lengths[symbols[inner].astype(np.int64) - first]
-    return out
+        return unrolled(near[lo:hi], self.rules, self.first)[skip : skip + stop - start]
 
 
 def encode_shard(doc_ids: np.ndarray, ids: np.ndarray, counts: np.ndarray, first: int, *, every: int = EVERY, **options) -> Shard:

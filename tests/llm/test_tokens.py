@@ -97,16 +97,17 @@ def occurrences(seq):
 @given(hnp.arrays(np.uint32, st.integers(0, 300), elements=st.integers(0, 4)), st.integers(2, 5))
 def test_grammar_round_trip(seq, least):
     rules, short = grammar.compress(seq, 5, least=least)
-    assert (grammar.expand(short, rules, 5) == seq).all()
     lengths = grammar.expansion_lengths(rules, 5)
-    assert all(lengths[i] == len(grammar.expand(np.array([5 + i], np.uint32), rules, 5)) for i in range(len(rules)))
+    assert (grammar.expand(short, rules, 5, lengths) == seq).all()
+    assert (grammar.unrolled(short, rules, 5) == seq).all()
+    assert all(lengths[i] == len(grammar.unrolled(np.array([5 + i], np.uint32), rules, 5)) for i in range(len(rules)))
     assert max(occurrences(short.tolist()).values(), default=0) < least
 
 
 def test_grammar_of_runs_and_copies():
     for seq in (np.full(100_000, 7, np.uint32), np.tile(np.random.default_rng(1).integers(0, 50, 700).astype(np.uint32), 64)):
         rules, short = grammar.compress(seq, 50)
-        assert (grammar.expand(short, rules, 50) == seq).all()
+        assert (grammar.expand(short, rules, 50, grammar.expansion_lengths(rules, 50)) == seq).all()
         assert len(short) + len(rules) < len(seq) / 40
 
 
