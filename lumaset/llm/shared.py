@@ -85,11 +85,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete shuffle files of finished phases, whose results are in shared tables, now rather than later.
 
     Spark deletes them when the driver's JVM has collected the plans that made them; between phases that each shuffle
-    the whole input, waiting for that to happen by itself would double the disk in use.
+    the whole input, waiting for that to happen by itself would double the disk in use.  The scheduler holds on to the
+    job that it ran last, so a small one comes first.
     """
     import gc
 
     gc.collect()
+    spark.range(0, 1, 1, 1).write.format("noop").mode("overwrite").save()
     spark._jvm.System.gc()
 
 
