@@ -11,13 +11,14 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-#: Pieces that a worker remembers, at about 40 bytes each; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Pieces that a worker remembers, at about 45 bytes each; beyond it the memory starts anew.
+REMEMBERED = 1_000_000
 #: Code points that are handled at once, about 100 bytes each; longer texts are cut before white space.
 AT_ONCE = 1 << 19
 #: Where a text can be cut: every pattern starts a piece at white space that follows a word character.
@@ -142,23 +143,30 @@ class Encoder:
             after = after[inside(where, k + 1)]
             starts[after[kind[after] == LETTER]] = True
 
-    def learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        """Remember pieces that aren't known yet; ``hashes`` ascend."""
+    def learn(self, hashes: np.ndarray, at: np.ndarray, pieces: list[str]) -> None:
+        """Remember pieces that aren't known yet; ``hashes`` ascend and belong before the places ``at``."""
         found = [self.piece_ids(piece) for piece in pieces]
         count = np.fromiter(map(len, found), np.int32, len(found))
-        ids = np.fromiter((i for piece in found for i in piece), np.uint32, int(count.sum()))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum()))
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used : self.used + len(ids)] = ids
-        at = np.searchsorted(self.known, hashes)
-        self.known = np.insert(self.known, at, hashes)
-        self.first = np.insert(self.first, at, self.used + np.cumsum(count, dtype=np.int64) - count)
-        self.count = np.insert(self.count, at, count)
+        old = np.ones(len(self.known) + len(at), bool)
+        at = at + np.arange(len(at))
+        old[at] = False
+        for name, new in (("known", hashes), ("first", self.used + np.cumsum(count, dtype=np.int64) - count), ("count", count)):
+            held = getattr(self, name)
+            both = np.empty(len(old), held.dtype)
+            both[at], both[old] = new, held
+            setattr(self, name, both)
         self.used += len(ids)
 
-    def unknown(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
-        return self.known[at] != hashes if len(self.known) else np.ones(len(hashes), bool)
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places among the known hashes or where they belong, whether they are unknown); ``hashes`` ascend, so the search stays in the cache."""
+        at = np.searchsorted(self.known, hashes)
+        if not len(self.known):
+            return at, np.ones(len(hashes), bool)
+        return at, self.known[np.minimum(at, len(self.known) - 1)] != hashes
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         joined = "".join(texts)
@@ -182,17 +190,21 @@ class Encoder:
         np.cumsum((cps.astype(np.uint64) + np.uint64(1)) * up, out=total[1:])
         hashes = (total[stop] - total[at]) * down[at]
         codes, different = pd.factorize(hashes)
-        new = self.unknown(different)
+        order = np.argsort(different)
+        asked = different[order]
+        found, new = self.find(asked)
         if len(self.known) + int(new.sum()) > REMEMBERED:
             self.forget()
-            new[:] = True
+            found, new = self.find(asked)
         if new.any():
             where = np.empty(len(different), np.int64)
             where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-            chosen = np.flatnonzero(new)
-            chosen = chosen[np.argsort(different[chosen])]
-            self.learn(different[chosen], [joined[a:b] for a, b in zip(at[where[chosen]].tolist(), stop[where[chosen]].tolist(), strict=True)])
-        slots = np.searchsorted(self.known, different)
+            chosen = order[new]
+            self.learn(asked[new], found[new], [joined[a:b] for a, b in zip(at[where[chosen]].tolist(), stop[where[chosen]].tolist(), strict=True)])
+            # the new ones before it move a place on
+            found = found + np.cumsum(new) - new
+        slots = np.empty_like(found)
+        slots[order] = found
         counts = self.count[slots][codes]
         sums = np.zeros(len(counts) + 1, np.int64)
         np.cumsum(counts, out=sums[1:])

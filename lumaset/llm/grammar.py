@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,105 +34,141 @@ LEAST, EVERY = 8, 1024
 SHARD_CHARS = 1 << 22
 
 
-def candidates(seq: np.ndarray, least: int, since: int | None, waiting: np.ndarray) -> np.ndarray:
-    """Places of pairs of two different ids that may occur ``least`` times.
-
-    At first, those that share a slot of a table with as many others.  Later, pairs of older ids only get rarer, so
-    those in ``waiting`` (frequent when last counted, but not replaced) and pairs with an id from ``since`` on.
-    """
-    if since is None:
-        bits = max(12, min(20, len(seq).bit_length()))
-        slot = ((seq[:-1] * np.uint32(0x9E3779B1)) ^ (seq[1:] * np.uint32(0x85EBCA6B))) >> np.uint32(32 - bits)
-        # neither id of such a pair is rarer than the pair
-        often = np.bincount(seq) >= least
-        open_ = (np.bincount(slot, minlength=1 << bits) >= least)[slot] & often[seq[:-1]] & often[seq[1:]]
+class Line:
+    """A sequence whose ids keep their places while pairs are merged; the place behind the last is never live."""
+
+    def __init__(self, seq: np.ndarray):
+        n = len(seq)
+        places = np.arange(-1, n + 2, dtype=np.int32 if n < 2**31 - 2 else np.int64)
+        self.ids = np.append(seq, np.uint32(0))
+        self.next, self.before = places[2:].copy(), places[:-2].copy()
+        self.next[n], self.before[0] = n, n
+        self.live = np.ones(n + 1, bool)
+        self.live[n] = False
+
+    def merge(self, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Put ``ids`` in place of the pairs that start ``at``, ascending; returns the places at which other pairs start now."""
+        gone = self.next[at]
+        after = self.next[gone]
+        self.ids[at], self.live[gone], self.next[at], self.before[after] = ids, False, after, at
+        ahead = self.before[at]
+        return np.concatenate([at, ahead[self.without(ahead, at)]])
+
+    def without(self, places: np.ndarray, changed: np.ndarray) -> np.ndarray:
+        """Which of the places are live and not ``changed`` (which are live)."""
+        self.live[changed] = False
+        kept = self.live[places]
+        self.live[changed] = True
+        return kept
+
+    def pairs(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places at which pairs start, left ids, right ids)."""
+        places = places[self.live[places]]
+        right = self.next[places]
+        inner = self.live[right]
+        if not inner.all():
+            places, right = places[inner], right[inner]
+        return places, self.ids[places], self.ids[right]
+
+
+def pair_groups(places: np.ndarray, left: np.ndarray, right: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys of pairs that occur ``least`` times, left * 2**32 + right; the places of each, key by key; how many)."""
+    if not len(places):
+        return np.zeros(0, np.uint64), places, np.zeros(0, np.int64)
+    wide, deep = int(max(left.max(), right.max())).bit_length(), int(places.max()).bit_length()
+    if 2 * wide + deep <= 64:
+        # key and place in one number: sorted faster than an order is found
+        wide, deep = np.uint64(wide), np.uint64(deep)
+        both = (((left.astype(np.uint64) << wide) | right) << deep) | places.astype(np.uint64)
+        both.sort()
+        keys, places = both >> deep, (both & ((np.uint64(1) << deep) - np.uint64(1))).astype(np.int64)
     else:
-        new = seq >= since
-        open_ = new[:-1] | new[1:]
-        if len(waiting):
-            left, right = (np.zeros(int(seq.max()) + 1, bool) for _ in range(2))
-            for side, ids in ((left, waiting >> np.uint64(32)), (right, waiting & np.uint64(0xFFFFFFFF))):
-                side[ids[ids < len(side)]] = True
-            open_ |= left[seq[:-1]] & right[seq[1:]]
-    return np.flatnonzero(open_ & (seq[:-1] != seq[1:]))
+        wide = np.uint64(32)
+        keys = (left.astype(np.uint64) << wide) | right
+        order = np.argsort(keys, kind="stable")
+        keys, places = keys[order], places[order]
+    edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
+    counts = np.diff(edges)
+    often = counts >= least
+    keys = keys[edges[:-1][often]]
+    return ((keys >> wide) << np.uint64(32)) | (keys & ((np.uint64(1) << wide) - np.uint64(1))), places[np.repeat(often, counts)], counts[often]
 
 
 def chosen_pairs(keys: np.ndarray) -> np.ndarray:
     """Which keys (left * 2**32 + right) are replaced together: left and right ids are disjoint sets, first come first served."""
-    left, right = set(), set()
+    lefts, rights = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    n = int(max(lefts.max(initial=-1), rights.max(initial=-1))) + 1
+    is_left, is_right = bytearray(n), bytearray(n)
     take = np.zeros(len(keys), bool)
-    for i, key in enumerate(keys.tolist()):
-        a, b = key >> 32, key & 0xFFFFFFFF
-        if a not in right and b not in left:
-            left.add(a)
-            right.add(b)
-            take[i] = True
+    for i, (a, b) in enumerate(zip(lefts.tolist(), rights.tolist())):
+        if not is_right[a] and not is_left[b]:
+            is_left[a] = is_right[b] = take[i] = True
     return take
 
 
-def replace_pairs(seq: np.ndarray, top: int, least: int, since: int | None, waiting: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rules for ids from ``top`` on, shortened sequence, keys of frequent pairs that wait)."""
-    at = candidates(seq, least, since, waiting)
-    codes, keys = pd.factorize((seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1])
-    counts = np.bincount(codes, minlength=len(keys))
-    often = np.flatnonzero(counts >= least)
-    often = often[np.lexsort((keys[often], -counts[often]))]
-    take = chosen_pairs(keys[often])
-    chosen = often[take]
-    if not len(chosen):
-        return np.zeros((0, 2), np.uint32), seq, keys[often]
-    number = np.full(len(keys), -1)
-    number[chosen] = np.arange(len(chosen))
-    hit = number[codes] >= 0
-    rules = np.stack([keys[chosen] >> np.uint64(32), keys[chosen] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-    return rules, merged(seq, at[hit], top + number[codes[hit]]), keys[often[~take]]
-
-
-def replace_runs(seq: np.ndarray, top: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rules, shortened sequence) for ids next to themselves: every other position of a run stands for two."""
-    same = np.flatnonzero(seq[1:] == seq[:-1])
+def replace_runs(line: Line, same: np.ndarray, top: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rules, places where pairs changed) for ids next to themselves, which start at ``same``: every other place of a run stands for two."""
+    none = np.zeros((0, 2), np.uint32), np.zeros(0, np.int64)
     if not len(same):
-        return np.zeros((0, 2), np.uint32), seq
-    first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
-    starts, halves = same[first], (np.diff(np.append(first, len(same))) + 1) // 2
-    ids, which = np.unique(seq[starts], return_inverse=True)
-    often = np.bincount(which, halves, len(ids)) >= least
+        return none
+    same = np.unique(same)
+    first = np.flatnonzero(np.concatenate([[True], line.next[same[:-1]] != same[1:]]))
+    lengths = np.diff(np.append(first, len(same)))
+    ids, which = np.unique(line.ids[same[first]], return_inverse=True)
+    often = np.bincount(which, (lengths + 1) // 2, len(ids)) >= least
     if not often.any():
-        return np.zeros((0, 2), np.uint32), seq
+        return none
     number = np.cumsum(often) - 1
-    mine = often[which]
-    starts, halves, which = starts[mine], halves[mine], which[mine]
-    within = np.arange(halves.sum()) - np.repeat(np.cumsum(halves) - halves, halves)
-    rules = np.stack([ids[often], ids[often]], 1).astype(np.uint32)
-    return rules, merged(seq, np.repeat(starts, halves) + 2 * within, np.repeat(top + number[which], halves))
-
-
-def merged(seq: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The sequence with ``ids`` in place of the pairs that start ``at``."""
-    seq = seq.copy()
-    seq[at] = ids.astype(np.uint32)
-    keep = np.ones(len(seq), bool)
-    keep[at + 1] = False
-    return seq[keep]
+    within = np.arange(len(same)) - np.repeat(first, lengths)
+    which = np.repeat(which, lengths)
+    hit = often[which] & (within % 2 == 0)
+    return np.stack([ids[often], ids[often]], 1).astype(np.uint32), line.merge(same[hit], top + number[which[hit]])
 
 
 def compress(seq: np.ndarray, first: int, *, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """Rules (n x 2; rule i defines id first + i) and the sequence, in which no pair occurs ``least`` times any more."""
-    rules, top, since, waiting = [np.zeros((0, 2), np.uint32)], first, None, np.zeros(0, np.uint64)
-    while len(seq) > 1:
-        before = top
-        made, seq = replace_runs(seq, top, least)
-        rules.append(made)
-        top += len(made)
-        now = top
-        made, seq, waiting = replace_pairs(seq, top, least, since, waiting)
-        rules.append(made)
-        top += len(made)
-        if top == before:
+    """Rules (n x 2; rule i defines id first + i) and the sequence, in which no pair occurs ``least`` times any more.
+
+    Only pairs with an id made since the last count are counted, runs likewise: others just get rarer, so of those the
+    frequent ones wait with their places.
+    """
+    line, rules, top = Line(seq.astype(np.uint32)), [np.zeros((0, 2), np.uint32)], first
+    by_runs, by_pairs = np.zeros(0, np.int64), np.arange(len(seq))
+    keys, counts, at = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    while True:
+        fresh = line.pairs(by_pairs)
+        again, left, right = line.pairs(by_runs)
+        made, by_runs = replace_runs(line, np.concatenate([fresh[0][fresh[1] == fresh[2]], again[left == right]]), top, least)
+        if len(made):
+            rules.append(made)
+            top += len(made)
+            kept = line.without(fresh[0], by_runs)
+            fresh = [np.concatenate([old[kept], new]) for old, new in zip(fresh, line.pairs(by_runs))]
+            kept = line.without(at, by_runs)
+            counts, at = np.bincount(np.repeat(np.arange(len(keys)), counts)[kept], minlength=len(keys)), at[kept]
+        other = fresh[1] != fresh[2]
+        if not other.all():
+            fresh = [part[other] for part in fresh]
+        keys, at, counts = map(np.concatenate, zip((keys, at, counts), pair_groups(*fresh, least)))
+        often = np.flatnonzero(counts >= least)
+        often = often[np.lexsort((keys[often], -counts[often]))]
+        chosen = often[chosen_pairs(keys[often])]
+        if not len(made) and not len(chosen):
             break
-        # ids that runs made before this count were in it
-        since = now
-    return np.concatenate(rules), seq
+        rules.append(np.stack([keys[chosen] >> np.uint64(32), keys[chosen] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        number = np.zeros(len(keys), np.int64)
+        number[chosen] = top + np.arange(len(chosen))
+        top += len(chosen)
+        numbers = np.repeat(number, counts)
+        hit = np.flatnonzero(numbers)
+        # by ascending places, which memory is read along; ids have 32 bits
+        both = np.sort((at[hit].astype(np.uint64) << np.uint64(32)) | numbers[hit].astype(np.uint64))
+        by_pairs = line.merge((both >> np.uint64(32)).astype(np.int64), both & np.uint64(0xFFFFFFFF))
+        waits = (counts >= least) & (number == 0)
+        left_over = np.flatnonzero(np.repeat(waits, counts))
+        kept = line.without(at[left_over], by_pairs)
+        keys, at, counts = keys[waits], at[left_over[kept]], counts[waits]
+        counts = np.bincount(np.repeat(np.arange(len(keys)), counts)[kept], minlength=len(keys))
+    return np.concatenate(rules), line.ids[line.live]
 
 
 def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:

@@ -12,6 +12,7 @@ from hypothesis.extra import numpy as hnp
 from lumaset.llm import bpe, grammar, packing, token_files
 
 BYTE, WORD = (bpe.vocabulary(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+LETTERS = str.maketrans("0123456789", "abcdefghij")
 
 
 def library_ids(path, texts):
@@ -38,6 +39,18 @@ def test_memory_starts_anew(monkeypatch):
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == library_ids(path, texts)
 
 
+def test_many_pieces_are_learned_once(monkeypatch):
+    learned = []
+    monkeypatch.setattr(bpe.Encoder, "piece_ids", lambda self, piece: learned.append(piece) or [len(piece)])
+    enc = bpe.Encoder(BYTE)
+    texts = ["".join(f" {i}" for i in range(lo, lo + 5000)).translate(LETTERS) for lo in range(0, 450_000, 5000)]
+    want = [len(f" {i}") for i in range(450_000)]
+    for _ in range(2):
+        ids, counts = enc.encode(texts)
+        assert (counts == 5000).all() and (ids == want).all()
+    assert len(learned) == len(set(learned)) == 450_000
+
+
 @pytest.mark.parametrize("block, file_ids", [(64, 500), (1 << 18, 1 << 22), (2, 50)])
 def test_token_counts(docs, rows, block, file_ids, monkeypatch):
     if block == 64:
@@ -104,6 +117,26 @@ def test_grammar_round_trip(seq, least):
     assert max(occurrences(short.tolist()).values(), default=0) < least
 
 
+def test_grammar_counts_only_new_pairs(monkeypatch):
+    """After the first round only pairs that a merge has changed are counted: two a merge at most."""
+    counted, count = [], grammar.pair_groups
+    monkeypatch.setattr(grammar, "pair_groups", lambda places, *more: counted.append(len(places)) or count(places, *more))
+    seq = np.random.default_rng(2).zipf(1.3, 20_000).clip(max=400).astype(np.uint32)
+    rules, short = grammar.compress(seq, 401)
+    assert len(counted) > 4 and max(occurrences(short.tolist()).values()) < grammar.LEAST
+    assert sum(counted) < len(seq) + 2 * (len(seq) - len(short))
+
+
+@pytest.mark.parametrize("shift", [0, 1 << 31])
+def test_pair_groups(shift):
+    seq = np.random.default_rng(4).integers(0, 6, 500).astype(np.uint32) + np.uint32(shift)
+    keys, places, counts = grammar.pair_groups(np.arange(499)[::-1], seq[:-1][::-1], seq[1:][::-1], 12)
+    want = {k: n for k, n in Counter(zip(seq.tolist(), seq[1:].tolist())).items() if n >= 12}
+    assert {(k >> 32, k & 0xFFFFFFFF): n for k, n in zip(keys.tolist(), counts.tolist())} == want
+    assert sorted(places.tolist()) == [i for i in range(499) if (seq[i], seq[i + 1]) in want]
+    assert (((seq[places].astype(np.uint64) << np.uint64(32)) | seq[places + 1]) == np.repeat(keys, counts)).all()
+
+
 def test_grammar_of_runs_and_copies():
     for seq in (np.full(100_000, 7, np.uint32), np.tile(np.random.default_rng(1).integers(0, 50, 700).astype(np.uint32), 64)):
         rules, short = grammar.compress(seq, 50)
